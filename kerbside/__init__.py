@@ -1 +1,8 @@
 """kerbside: city-operations analytics on Spark DataFrames and Structured Streaming."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -25,12 +25,16 @@ def parse_event_time(text: Column | str) -> Column:
 def epoch_ms(df: DataFrame, time_col: str = "event_time") -> Column:
     """Epoch milliseconds of a TIMESTAMP or TIMESTAMP_NTZ column, microseconds floored."""
     if isinstance(df.schema[time_col].dataType, T.TimestampNTZType):
-        return F.expr(
-            f"floor(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`) / 1000)"
-        )
+        return F.floor(ntz_micros(f"`{time_col}`", "1970-01-01 00:00:00") / 1000)
     return F.unix_millis(F.col(time_col))
 
 
+def ntz_micros(expr: str, origin: str) -> Column:
+    """Microseconds from a wall-clock origin to a TIMESTAMP_NTZ expression, whatever the session time zone."""
+    seconds = f"CAST(CAST({expr} - TIMESTAMP_NTZ'{origin}' AS INTERVAL SECOND) AS DECIMAL(18, 6))"
+    return F.expr(f"CAST({seconds} * 1000000 AS BIGINT)")
+
+
 def iso_instant(ms: Column) -> Column:
     """Epoch milliseconds to ISO text: no fraction on a whole second, else three digits."""
     seconds = F.floor(ms / 1000)

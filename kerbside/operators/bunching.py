@@ -1,4 +1,9 @@
-"""Bus bunching: two buses of one route that stay close to each other for minutes."""
+"""Bus bunching: two buses of one route that stay close to each other for minutes.
+
+Time is cut into slices as wide as the staleness bound. A position can then only be compared with
+positions of its own slice or with the other bus's last one of the slice before, so the rows of a bus in
+a slice plus one carried row are all that a comparison in that slice can need.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.functions.clock import epoch_ms, time_block
 from kerbside.functions.geo import earth_xyz, haversine_m
+from kerbside.operators.staging import staged
 
 # Closer than this is bunched, after this long it is reported, and a bus not heard of
 # for longer than this is left out of the comparison.
@@ -13,156 +19,58 @@ NEAR_METRES = 200.0
 HOLD_MS = 300_000
 STALE_MS = 180_000
 
+_BUS = ["route_id", "bus_id"]
 _PAIR = ["route_id", "bus_a", "bus_b"]
 
 
-class _Positions:
-    """One route's positions cut into time slices as wide as the staleness bound.
-
-    With that width a position can only be compared against positions of its own slice or the last
-    one of the slice before, so a (bus, slice) plus one carried row is all a comparison needs.
-    """
-
-    def __init__(self, gps: DataFrame, stale_ms: int, id_col: str):
-        self.stale_ms = stale_ms
-        rows = gps.select(
-            "route_id", "bus_id", epoch_ms(gps).alias("ms"), F.col(id_col).alias("id"), "lat", "lon"
-        ).dropna(subset=["route_id", "bus_id", "ms", "lat", "lon"])
-        rows = rows.withColumn("slice", time_block(F.col("ms"), stale_ms))
-        seen = rows.groupBy("route_id", "bus_id", "slice").agg(
-            F.min("ms").alias("first_ms"),
-            F.max_by(F.struct("ms", "id", "lat", "lon"), F.struct("ms", "id")).alias("last"),
-        )
-        carried = seen.select(
-            "route_id", "bus_id", "last.*", (F.col("slice") + 1).alias("slice"), F.lit(False).alias("own")
-        )
-        # Every row of a slice, after the carried last row of the slice before.
-        self.placed = rows.withColumn("own", F.lit(True)).unionByName(carried)
-        # Per (bus, slice): first own row, and last row of the slice before.
-        self.around = (
-            seen.select("route_id", "bus_id", "slice", "first_ms", F.lit(None).cast("long").alias("before_ms"))
-            .unionByName(
-                seen.select("route_id", "bus_id", (F.col("slice") + 1).alias("slice"),
-                            F.lit(None).cast("long").alias("first_ms"), F.col("last.ms").alias("before_ms"))
-            )
-            .groupBy("route_id", "bus_id", "slice")
-            .agg(F.max("first_ms").alias("first_ms"), F.max("before_ms").alias("before_ms"))
-        )
-
-    def near_pairs(self, metres: float) -> DataFrame:
-        """(pair, slice) whose buses may have come within ``metres``: a superset, found by cell.
-
-        The smaller bus offers every cell that a ball of that radius around its positions touches, the
-        larger bus the cells of its positions. Cells are reduced to distinct ones per bus and slice
-        before they meet, so a bus that reports a lot weighs no more than one that reports little.
-        """
-        side = 4 * metres
-        xyz = earth_xyz(F.col("lat"), F.col("lon"))
-        slack = metres * 1.001 + 0.01
-        at = [F.floor(v / side).alias(f"c{i}") for i, v in enumerate(xyz)]
-        low = [F.floor((v - slack) / side).alias(f"l{i}") for i, v in enumerate(xyz)]
-        high = [F.floor((v + slack) / side).alias(f"h{i}") for i, v in enumerate(xyz)]
-        own = self.placed.select("route_id", "slice", F.col("bus_id").alias("bus_b"), *at).distinct()
-        reach = self.placed.select("route_id", "slice", F.col("bus_id").alias("bus_a"), *low, *high).distinct()
-        for i in range(3):
-            reach = reach.withColumn(f"c{i}", F.explode(F.sequence(f"l{i}", f"h{i}"))).drop(f"l{i}", f"h{i}")
-        meet = reach.join(own, ["route_id", "slice", "c0", "c1", "c2"]).where("bus_a < bus_b")
-        return meet.select(*_PAIR, "slice").distinct()
-
-    def comparisons(self, pairs: DataFrame, metres: float) -> DataFrame:
-        """Each position of a pair against the other bus's last known one, within the given slices.
-
-        Columns of ``pairs`` beyond pair and slice are carried along. ``streak`` numbers the runs of
-        close comparisons in a slice: it grows by one at every separation.
-        """
-        extra = [c for c in pairs.columns if c not in (*_PAIR, "slice")]
-        both = pairs.withColumn("bus_id", F.explode(F.array("bus_a", "bus_b")))
-        rows = self.placed.join(both, ["route_id", "slice", "bus_id"])
-        order = (
-            Window.partitionBy("route_id", "slice", "bus_a", "bus_b")
-            .orderBy("ms", "id")
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        position = F.struct("ms", "lat", "lon")
-        is_a = F.col("bus_id") == F.col("bus_a")
-        paired = rows.select(
-            "*",
-            F.last(F.when(is_a, position), ignorenulls=True).over(order).alias("pos_a"),
-            F.last(F.when(~is_a, position), ignorenulls=True).over(order).alias("pos_b"),
-        )
-        other = F.when(is_a, F.col("pos_b")).otherwise(F.col("pos_a"))
-        compared = (
-            paired.withColumn("other", other)
-            .where(F.col("own") & F.col("other").isNotNull() & (F.col("ms") - F.col("other.ms") <= self.stale_ms))
-            .select(
-                *_PAIR, "slice", "ms", "id", "bus_id",
-                F.when(is_a, F.col("bus_b")).otherwise(F.col("bus_a")).alias("other_bus"),
-                haversine_m(F.col("lat"), F.col("lon"), F.col("other.lat"), F.col("other.lon")).alias("distance"),
-                *extra,
-            )
-            .withColumn("close", F.col("distance") <= metres)
-        )
-        return compared.withColumn("streak", F.sum(F.when(F.col("close"), 0).otherwise(1)).over(order))
+def bus_bunching(
+    gps: DataFrame,
+    metres: float = NEAR_METRES,
+    hold_ms: int = HOLD_MS,
+    stale_ms: int = STALE_MS,
+    id_col: str = "event_id",
+    stage_rows: bool = False,
+) -> DataFrame:
+    """Alerts (route_id, bus_id_1, bus_id_2, distance_meters, ms, event id), ``bus_id_1`` the one that moved.
 
-    def comparable(self, pair_slices: DataFrame) -> DataFrame:
-        """Those (pair, slice) in which at least one comparison took place, near or far."""
+    Every position is compared with the last known position of the route's other buses, unless that is
+    older than ``stale_ms``. A pair's streak starts at its first close comparison and ends at the first
+    far one; it alerts once, at the first close comparison ``hold_ms`` or more after its start. Silence
+    does not end a streak.
 
-        def side(bus: str, tag: str) -> DataFrame:
-            return self.around.select(
-                "route_id", "slice", F.col("bus_id").alias(bus),
-                F.col("first_ms").alias(f"first_{tag}"), F.col("before_ms").alias(f"before_{tag}"),
-            )
+    Buses are paired only in the slices in which they come near each other, and in the slice after. Each
+    pair then has one summary row per slice, chained in time order. The few slices in which the chain
+    shows an alert are compared once more, to find the very row. The small tables in between are staged in
+    the checkpoint folder; ``stage_rows`` stages the positions too, which pays when they are decoded or
+    computed rather than read from a columnar table, since they are read several times.
+    """
+    rows = _rows(gps, stale_ms, id_col)
+    if stage_rows:
+        rows = staged(rows)
+    placed = _with_carried(rows)
+    near = staged(_near_pairs(placed, metres))
+    looked_at = near.unionByName(near.withColumn("slice", F.col("slice") + 1)).distinct()
+    summary = staged(_slice_summaries(_comparisons(placed, looked_at, metres, stale_ms), hold_ms, stale_ms))
+    apart = _separations_in_silence(rows, near, summary, stale_ms)
+    alerting = staged(_alerting_slices(summary.unionByName(apart, allowMissingColumns=True), hold_ms))
 
-        both = pair_slices.join(side("bus_a", "a"), ["route_id", "slice", "bus_a"]).join(
-            side("bus_b", "b"), ["route_id", "slice", "bus_b"]
-        )
-        # Two buses seen in one slice are compared at the later one's first row; a bus seen alone is
-        # compared if its first row is fresh against the other's last row of the slice before.
-        return both.where(
-            (F.col("first_a").isNotNull() & F.col("first_b").isNotNull())
-            | (F.col("first_a") - F.col("before_b") <= self.stale_ms)
-            | (F.col("first_b") - F.col("before_a") <= self.stale_ms)
-        ).select(*_PAIR, "slice")
-
-    def separations_between(self, near: DataFrame) -> DataFrame:
-        """(pair, slice) outside the near slices that prove the pair was seen apart there.
-
-        Any comparison outside the near slices is a far one. After a near slice the pair is normally
-        compared again in the very next slice. Where it is not, one of the buses has gone silent, and
-        the next comparison falls into a slice in which one of the two reports after a silence longer
-        than the staleness bound; those slices are few and are looked at one by one.
-        """
-        in_pair = Window.partitionBy(*_PAIR).orderBy("slice")
-        gaps = near.withColumn("next_slice", F.lead("slice").over(in_pair)).where("next_slice > slice + 1")
-        adjacent = self.comparable(gaps.select(*_PAIR, (F.col("slice") + 1).alias("slice")))
-        silent = (
-            gaps.where("next_slice > slice + 2").withColumn("slice", F.col("slice") + 1)
-            .join(adjacent, [*_PAIR, "slice"], "left_anti")
-            .groupBy(*_PAIR)
-            .agg(F.min("slice").alias("from_slice"), F.max("next_slice").alias("to_slice"))
-        )
-        returns = self.around.where(
-            F.col("first_ms").isNotNull()
-            & (F.col("before_ms").isNull() | (F.col("first_ms") - F.col("before_ms") > self.stale_ms))
-        ).select("route_id", "bus_id", F.col("slice"))
-        probes = (
-            silent.withColumn("bus_id", F.explode(F.array("bus_a", "bus_b")))
-            .join(returns, ["route_id", "bus_id"])
-            .where((F.col("slice") > F.col("from_slice")) & (F.col("slice") < F.col("to_slice")))
-            .select(*_PAIR, "slice")
-            .distinct()
-            .join(near, [*_PAIR, "slice"], "left_anti")
-        )
-        return adjacent.unionByName(self.comparable(probes)).distinct()
+    in_play = F.explode(F.array(F.col("slice") - 1, F.col("slice"))).alias("slice")
+    needed = _both_buses(alerting).select(*_BUS, in_play).distinct()
+    again = _with_carried(rows.join(needed, [*_BUS, "slice"], "left_semi"))
+    return _alerts(_comparisons(again, alerting, metres, stale_ms), hold_ms, id_col)
 
 
 def close_contacts(
     gps: DataFrame, metres: float = NEAR_METRES, stale_ms: int = STALE_MS, id_col: str = "event_id"
 ) -> DataFrame:
     """Each position within ``metres`` of another bus's last known position on the same route."""
-    positions = _Positions(gps, stale_ms, id_col)
-    found = positions.comparisons(positions.near_pairs(metres), metres).where("close")
-    return found.select(
+    placed = _with_carried(_rows(gps, stale_ms, id_col))
+    found = _comparisons(placed, _near_pairs(placed, metres), metres, stale_ms)
+    return _named(found.where("close"), id_col)
+
+
+def _named(compared: DataFrame, id_col: str) -> DataFrame:
+    return compared.select(
         "route_id",
         F.col("bus_id").alias("bus_id_1"),
         F.col("other_bus").alias("bus_id_2"),
@@ -172,48 +80,96 @@ def close_contacts(
     )
 
 
-def bus_bunching(
-    gps: DataFrame,
-    metres: float = NEAR_METRES,
-    hold_ms: int = HOLD_MS,
-    stale_ms: int = STALE_MS,
-    id_col: str = "event_id",
-) -> DataFrame:
-    """Alerts (route_id, bus_id_1, bus_id_2, distance_meters, ms, event id), ``bus_id_1`` the one that moved.
+def _rows(gps: DataFrame, stale_ms: int, id_col: str) -> DataFrame:
+    rows = gps.select(
+        *_BUS, epoch_ms(gps).alias("ms"), F.col(id_col).alias("id"), "lat", "lon"
+    ).dropna(subset=[*_BUS, "ms", "lat", "lon"])
+    return rows.withColumn("slice", time_block(F.col("ms"), stale_ms))
 
-    Every position is compared with the last known position of the route's other buses, unless that is
-    older than ``stale_ms``. A pair's streak starts at its first close comparison and ends at the first
-    far one; it alerts once, at the first close comparison ``hold_ms`` or more after its start. Silence
-    does not end a streak.
 
-    Buses are paired only in the time slices in which they come near each other. A pair then needs one
-    summary row per near slice, chained in time order, and the few slices in which the chain shows an
-    alert are compared once more to find the very row.
+def _with_carried(rows: DataFrame) -> DataFrame:
+    """Rows plus, in each slice, the bus's last row of the slice before (``own`` false)."""
+    last = F.max_by(F.struct("ms", "id", "lat", "lon"), F.struct("ms", "id")).alias("last")
+    carried = rows.groupBy(*_BUS, "slice").agg(last).select(
+        *_BUS, "last.*", (F.col("slice") + 1).alias("slice"), F.lit(False).alias("own")
+    )
+    return rows.withColumn("own", F.lit(True)).unionByName(carried)
+
+
+def _both_buses(pairs: DataFrame) -> DataFrame:
+    """Two rows per pair, one for either bus as ``bus_id``."""
+    return pairs.withColumn("bus_id", F.explode(F.array("bus_a", "bus_b")))
+
+
+def _near_pairs(placed: DataFrame, metres: float) -> DataFrame:
+    """(pair, slice) whose buses may have come within ``metres``: a superset, found by cell.
+
+    The smaller bus offers every cell that a ball of that radius around its positions touches, the
+    larger bus the cells of its positions. Both are reduced to distinct cells per bus and slice before
+    they meet, so a bus that reports a lot weighs no more than one that reports little.
     """
-    positions = _Positions(gps, stale_ms, id_col)
-    near = positions.near_pairs(metres)
-    summary = _slice_summaries(positions.comparisons(near, metres), hold_ms, stale_ms)
-    apart = positions.separations_between(near).select(*_PAIR, "slice", F.lit(1).cast("long").alias("separations"))
-    chain = summary.unionByName(apart, allowMissingColumns=True)
-    alerting = _alerting_slices(chain, hold_ms)
-    return _alerts(positions.comparisons(alerting, metres), hold_ms, id_col)
+    side, slack = 4 * metres, metres * 1.001 + 0.01
+    measures = []
+    for i, axis in enumerate(earth_xyz(F.col("lat"), F.col("lon"))):
+        measures += [
+            F.floor(axis / side).alias(f"c{i}"),
+            F.floor((axis - slack) / side).alias(f"l{i}"),
+            F.floor((axis + slack) / side).alias(f"h{i}"),
+        ]
+    cells = staged(placed.select(*_BUS, "slice", *measures).distinct())
+    own = cells.select("route_id", "slice", F.col("bus_id").alias("bus_b"), "c0", "c1", "c2")
+    reach = cells.select("route_id", "slice", F.col("bus_id").alias("bus_a"), "l0", "h0", "l1", "h1", "l2", "h2")
+    for i in range(3):
+        reach = reach.withColumn(f"c{i}", F.explode(F.sequence(f"l{i}", f"h{i}"))).drop(f"l{i}", f"h{i}")
+    meet = reach.distinct().join(own.distinct(), ["route_id", "slice", "c0", "c1", "c2"]).where("bus_a < bus_b")
+    return meet.select(*_PAIR, "slice").distinct()
+
+
+def _comparisons(placed: DataFrame, pairs: DataFrame, metres: float, stale_ms: int) -> DataFrame:
+    """Each position of a pair against the other bus's last known one, within the given slices.
+
+    Columns of ``pairs`` beyond pair and slice are carried along. ``streak`` numbers the runs of close
+    comparisons in a slice: it grows by one at every separation.
+    """
+    extra = [c for c in pairs.columns if c not in (*_PAIR, "slice")]
+    rows = placed.join(_both_buses(pairs), [*_BUS, "slice"])
+    so_far = (
+        Window.partitionBy(*_PAIR, "slice").orderBy("ms", "id").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    position = F.struct("ms", "lat", "lon")
+    is_a = F.col("bus_id") == F.col("bus_a")
+    paired = rows.select(
+        "*",
+        F.last(F.when(is_a, position), ignorenulls=True).over(so_far).alias("pos_a"),
+        F.last(F.when(~is_a, position), ignorenulls=True).over(so_far).alias("pos_b"),
+    )
+    return (
+        paired.withColumn("other", F.when(is_a, F.col("pos_b")).otherwise(F.col("pos_a")))
+        .where(F.col("own") & F.col("other").isNotNull() & (F.col("ms") - F.col("other.ms") <= stale_ms))
+        .select(
+            *_PAIR, "slice", "ms", "id", "bus_id",
+            F.when(is_a, F.col("bus_b")).otherwise(F.col("bus_a")).alias("other_bus"),
+            haversine_m(F.col("lat"), F.col("lon"), F.col("other.lat"), F.col("other.lon")).alias("distance"),
+            *extra,
+        )
+        .withColumn("close", F.col("distance") <= metres)
+        .withColumn("streak", F.sum(F.when(F.col("close"), 0).otherwise(1)).over(so_far))
+    )
 
 
 def _slice_summaries(compared: DataFrame, hold_ms: int, stale_ms: int) -> DataFrame:
     """Per (pair, slice): its separations, the close run before the first and the one after the last."""
-    whole = Window.partitionBy("route_id", "slice", "bus_a", "bus_b")
+    whole = Window.partitionBy(*_PAIR, "slice")
     rows = compared.withColumn("separations", F.max("streak").over(whole))
     lead = F.col("close") & (F.col("streak") == 0)
     tail = F.col("close") & (F.col("streak") == F.col("separations")) & (F.col("separations") > 0)
     inner_alert = F.lit(False)
     if hold_ms < stale_ms:  # otherwise no streak can last long enough inside one slice
-        since = F.min(F.when(F.col("close"), F.col("ms"))).over(
-            Window.partitionBy("route_id", "slice", "bus_a", "bus_b", "streak")
-        )
+        since = F.min(F.when(F.col("close"), F.col("ms"))).over(Window.partitionBy(*_PAIR, "slice", "streak"))
         rows = rows.withColumn("since", since)
         inner_alert = F.col("close") & (F.col("ms") - F.col("since") >= hold_ms)
-    return rows.groupBy("route_id", "slice", "bus_a", "bus_b").agg(
-        F.max("separations").cast("long").alias("separations"),
+    return rows.groupBy(*_PAIR, "slice").agg(
+        F.max("separations").alias("separations"),
         F.min(F.when(lead, F.col("ms"))).alias("lead_from"),
         F.max(F.when(lead, F.col("ms"))).alias("lead_to"),
         F.min(F.when(tail, F.col("ms"))).alias("tail_from"),
@@ -222,46 +178,96 @@ def _slice_summaries(compared: DataFrame, hold_ms: int, stale_ms: int) -> DataFr
     )
 
 
+def _separations_in_silence(rows: DataFrame, near: DataFrame, summary: DataFrame, stale_ms: int) -> DataFrame:
+    """One-separation rows for slices away from the near ones in which a pair was seen apart.
+
+    Any comparison outside the near slices is a far one. Normally the slice right after a near one, which
+    has been looked at, shows it. Where that slice holds no comparison, one of the buses has gone silent,
+    and the pair's next comparison falls into a slice in which one of the two reports after a silence
+    longer than the staleness bound; those slices are looked at here.
+    """
+    by_slice = Window.partitionBy(*_PAIR).orderBy("slice")
+    silent = (
+        near.withColumn("next_slice", F.lead("slice").over(by_slice))
+        .where("next_slice > slice + 2")
+        .withColumn("slice", F.col("slice") + 1)
+        .join(summary, [*_PAIR, "slice"], "left_anti")
+        .groupBy(*_PAIR)
+        .agg(F.min("slice").alias("from_slice"), F.max("next_slice").alias("to_slice"))
+    )
+    members = _both_buses(silent)
+    seen = (
+        rows.join(members.select(*_BUS).distinct(), _BUS, "left_semi")
+        .groupBy(*_BUS, "slice")
+        .agg(F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))
+    )
+    missing = F.lit(None).cast("long")
+    # Per bus and slice: its first row, and its last one of the slice before.
+    around = (
+        seen.select(*_BUS, "slice", "first_ms", missing.alias("before_ms"))
+        .unionByName(seen.select(
+            *_BUS, (F.col("slice") + 1).alias("slice"), missing.alias("first_ms"), F.col("last_ms").alias("before_ms")
+        ))
+        .groupBy(*_BUS, "slice")
+        .agg(F.max("first_ms").alias("first_ms"), F.max("before_ms").alias("before_ms"))
+    )
+    after_silence = F.col("before_ms").isNull() | (F.col("first_ms") - F.col("before_ms") > stale_ms)
+    probes = (
+        members.join(around.where(F.col("first_ms").isNotNull() & after_silence), _BUS)
+        .where((F.col("slice") > F.col("from_slice")) & (F.col("slice") < F.col("to_slice")))
+        .select(*_PAIR, "slice")
+        .distinct()
+        .join(near, [*_PAIR, "slice"], "left_anti")
+    )
+    is_a = F.col("bus_id") == F.col("bus_a")
+    sides = _both_buses(probes).join(around, [*_BUS, "slice"]).groupBy(*_PAIR, "slice").agg(
+        *[
+            F.max(F.when(test, F.col(f"{what}_ms"))).alias(f"{what}_{tag}")
+            for what in ("first", "before")
+            for tag, test in (("a", is_a), ("b", ~is_a))
+        ]
+    )
+    # Two buses seen in one slice are compared at the later one's first row; a bus seen alone is compared
+    # if its first row is fresh against the other's last row of the slice before.
+    compared = (
+        (F.col("first_a").isNotNull() & F.col("first_b").isNotNull())
+        | (F.col("first_a") - F.col("before_b") <= stale_ms)
+        | (F.col("first_b") - F.col("before_a") <= stale_ms)
+    )
+    return sides.where(compared).select(*_PAIR, "slice", F.lit(1).cast("long").alias("separations"))
+
+
 def _alerting_slices(chain: DataFrame, hold_ms: int) -> DataFrame:
-    """Near slices that hold an alert, with the streak each one continues: its start and its last row."""
-    order = Window.partitionBy(*_PAIR).orderBy("slice")
+    """Slices that hold an alert, with the streak each one continues: its start and its last row."""
+    by_slice = Window.partitionBy(*_PAIR).orderBy("slice")
     split = F.col("separations") > 0
-    rows = chain.withColumn("run", F.sum(F.when(split, 1).otherwise(0)).over(order))
+    rows = chain.withColumn("run", F.sum(F.when(split, 1).otherwise(0)).over(by_slice))
     in_run = Window.partitionBy(*_PAIR, "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
     opened = F.when(split, F.col("tail_from")).otherwise(F.col("lead_from"))
     latest = F.when(split, F.col("tail_to")).otherwise(F.col("lead_to"))
     rows = rows.withColumn("open_from", F.min(opened).over(in_run)).withColumn("open_to", F.max(latest).over(in_run))
     rows = rows.select(
-        "*", F.lag("open_from").over(order).alias("since_in"), F.lag("open_to").over(order).alias("last_in")
+        "*", F.lag("open_from").over(by_slice).alias("since_in"), F.lag("open_to").over(by_slice).alias("last_in")
     )
     since = F.coalesce("since_in", "lead_from")
     not_yet = F.col("last_in").isNull() | (F.col("last_in") - F.col("since_in") < hold_ms)
-    return rows.where(
-        F.col("lead_from").isNotNull() & not_yet & (F.col("lead_to") - since >= hold_ms)
-        | F.col("inner_alert")
-    ).select(*_PAIR, "slice", "since_in", "last_in")
+    carried_alert = F.col("lead_from").isNotNull() & not_yet & (F.col("lead_to") - since >= hold_ms)
+    return rows.where(carried_alert | F.col("inner_alert")).select(*_PAIR, "slice", "since_in", "last_in")
 
 
 def _alerts(compared: DataFrame, hold_ms: int, id_col: str) -> DataFrame:
     """The alerting rows of the given slices."""
-    streak = Window.partitionBy("route_id", "slice", "bus_a", "bus_b", "streak").orderBy("ms", "id")
+    streak = Window.partitionBy(*_PAIR, "slice", "streak").orderBy("ms", "id")
     continues = F.col("streak") == 0
-    close_rows = compared.where("close")
     start = F.min("ms").over(streak.rowsBetween(Window.unboundedPreceding, 0))
     before = F.lag("ms").over(streak)
-    return (
-        close_rows.withColumn("since", F.when(continues, F.coalesce("since_in", start)).otherwise(start))
+    found = (
+        compared.where("close")
+        .withColumn("since", F.when(continues, F.coalesce("since_in", start)).otherwise(start))
         .withColumn("previous", F.when(continues, F.coalesce(before, "last_in")).otherwise(before))
         .where(
             (F.col("ms") - F.col("since") >= hold_ms)
             & (F.col("previous").isNull() | (F.col("previous") - F.col("since") < hold_ms))
         )
-        .select(
-            "route_id",
-            F.col("bus_id").alias("bus_id_1"),
-            F.col("other_bus").alias("bus_id_2"),
-            F.col("distance").alias("distance_meters"),
-            "ms",
-            F.col("id").alias(id_col),
-        )
     )
+    return _named(found, id_col)

@@ -136,7 +136,7 @@ def gridlock_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bus_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metres_rounded(bunching.bus_bunching(views.feed(spark, sf_dir, "bus_gps")))
+    return _metres_rounded(bunching.bus_bunching(views.feed(spark, sf_dir, "bus_gps"), stage_rows=True))
 
 
 def bus_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,17 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kerbside.functions.clock import ntz_micros
 from kerbside.schemas import FEED_KEYS, FEEDS
 
-_BASE = [
-    "event_id AS id",
-    "user_id AS u",
-    "value",
-    "CAST(get_json_object(props, '$.k') AS INT) AS k",
-    # 30 days become 12 hours, so that rules on the scale of minutes fire.
-    "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) div 60 AS et",
-]
-
 _BUS_GPS = [
     "concat('RT-', lpad(u % 8 + 1, 3, '0')) AS route_id",
     "concat('RT-', lpad(u % 8 + 1, 3, '0'), '-BUS-', lpad((u div 8) % 3, 3, '0')) AS bus_id",
@@ -68,11 +60,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One sensor feed as typed rows with ``event_time`` (NTZ) and ``event_id``."""
-    base = table(spark, sf_dir, "events").selectExpr(*_BASE).withColumn("slot", F.expr("et div 1200000000"))
-    return base.selectExpr(
-        *_FEED_COLUMNS[name],
-        "timestampadd(MICROSECOND, et, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS event_time",
-        "id AS event_id",
+    # 30 days become 12 hours, so that rules on the scale of minutes fire.
+    compressed = F.floor(ntz_micros("ts", "2024-01-01 00:00:00") / 60)
+    number = F.get_json_object("props", "$.k").cast("int")
+    # Generated, not projected: the JSON is then read once per event however often k is used above.
+    base = table(spark, sf_dir, "events").select(
+        F.inline(F.array(F.struct(
+            F.col("event_id").alias("id"), F.col("user_id").alias("u"), "value",
+            number.alias("k"), compressed.alias("et"),
+        )))
+    )
+    event_time = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'") + F.make_dt_interval(
+        secs=(F.col("et") / 1_000_000).cast("decimal(18,6)")
+    )
+    return base.withColumn("slot", F.expr("et div 1200000000")).select(
+        *map(F.expr, _FEED_COLUMNS[name]), event_time.alias("event_time"), F.col("id").alias("event_id")
     )
 
 
