@@ -8,9 +8,9 @@ from kerbside.functions.clock import parse_event_time
 
 
 def is_json_object(text: Column) -> Column:
-    """True when the text parses as JSON and its root is an object; never NULL."""
-    parsed = F.try_parse_json(text).isNotNull()
-    return F.coalesce(parsed & F.ltrim(text).startswith("{"), F.lit(False))
+    """True when the text is one JSON object from its first brace to its last; never NULL."""
+    closed = F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
+    return F.coalesce(closed & F.json_object_keys(text).isNotNull(), F.lit(False))
 
 
 def decode_json(

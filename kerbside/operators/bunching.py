@@ -45,8 +45,7 @@ def bus_bunching(
     computed rather than read from a columnar table, since they are read several times.
     """
     rows = _rows(gps, stale_ms, id_col)
-    if stage_rows:
-        rows = staged(rows)
+    rows = staged(rows) if stage_rows else rows
     placed = _with_carried(rows)
     near = staged(_near_pairs(placed, metres))
     looked_at = near.unionByName(near.withColumn("slice", F.col("slice") + 1)).distinct()
@@ -61,10 +60,15 @@ def bus_bunching(
 
 
 def close_contacts(
-    gps: DataFrame, metres: float = NEAR_METRES, stale_ms: int = STALE_MS, id_col: str = "event_id"
+    gps: DataFrame,
+    metres: float = NEAR_METRES,
+    stale_ms: int = STALE_MS,
+    id_col: str = "event_id",
+    stage_rows: bool = False,
 ) -> DataFrame:
     """Each position within ``metres`` of another bus's last known position on the same route."""
-    placed = _with_carried(_rows(gps, stale_ms, id_col))
+    rows = _rows(gps, stale_ms, id_col)
+    placed = _with_carried(staged(rows) if stage_rows else rows)
     found = _comparisons(placed, _near_pairs(placed, metres), metres, stale_ms)
     return _named(found.where("close"), id_col)
 
@@ -105,8 +109,8 @@ def _near_pairs(placed: DataFrame, metres: float) -> DataFrame:
     """(pair, slice) whose buses may have come within ``metres``: a superset, found by cell.
 
     The smaller bus offers every cell that a ball of that radius around its positions touches, the
-    larger bus the cells of its positions. Both are reduced to distinct cells per bus and slice before
-    they meet, so a bus that reports a lot weighs no more than one that reports little.
+    larger bus the cells of its positions. Positions are reduced to distinct cells per bus and slice
+    before they meet, so a bus that reports a lot weighs no more than one that reports little.
     """
     side, slack = 4 * metres, metres * 1.001 + 0.01
     measures = []
@@ -116,12 +120,12 @@ def _near_pairs(placed: DataFrame, metres: float) -> DataFrame:
             F.floor((axis - slack) / side).alias(f"l{i}"),
             F.floor((axis + slack) / side).alias(f"h{i}"),
         ]
-    cells = staged(placed.select(*_BUS, "slice", *measures).distinct())
+    cells = placed.select(*_BUS, "slice", *measures).distinct()
     own = cells.select("route_id", "slice", F.col("bus_id").alias("bus_b"), "c0", "c1", "c2")
     reach = cells.select("route_id", "slice", F.col("bus_id").alias("bus_a"), "l0", "h0", "l1", "h1", "l2", "h2")
     for i in range(3):
         reach = reach.withColumn(f"c{i}", F.explode(F.sequence(f"l{i}", f"h{i}"))).drop(f"l{i}", f"h{i}")
-    meet = reach.distinct().join(own.distinct(), ["route_id", "slice", "c0", "c1", "c2"]).where("bus_a < bus_b")
+    meet = reach.join(own, ["route_id", "slice", "c0", "c1", "c2"]).where("bus_a < bus_b")
     return meet.select(*_PAIR, "slice").distinct()
 
 

@@ -37,6 +37,34 @@ def enrich_positions(gps: DataFrame, schedule: DataFrame) -> DataFrame:
     )
 
 
+def enrich_messages(raw: DataFrame, schedule: DataFrame) -> DataFrame:
+    """The same join on messages, without a schema: fields nobody declared pass through.
+
+    Keys stay as they are. A matched position gains the schedule's columns, an unmatched one only
+    ``schedule_match``. Messages that are no JSON object are left to the validator.
+    """
+    added = [*SCHEDULE_COLUMNS, "schedule_match"]
+    # Generated, so that each message is parsed once.
+    fields = F.from_json(F.col("value").cast("string"), "map<string, variant>")
+    parsed = raw.select("key", F.explode(F.array(fields)).alias("fields")).where(F.col("fields").isNotNull())
+    route = F.try_variant_get(F.col("fields")["route_id"], "$", "string")
+    side = schedule.select("route_id", *SCHEDULE_COLUMNS)
+    joined = parsed.withColumn("route_id", route).join(side.withColumn("_found", F.lit(True)), "route_id", "left")
+
+    def entry(name: str) -> list:
+        return [F.lit(name), F.col(name).cast("variant")]
+
+    matched = F.create_map(
+        *[part for name in SCHEDULE_COLUMNS for part in entry(name)],
+        F.lit("schedule_match"), F.lit(True).cast("variant"),
+    )
+    unmatched = F.create_map(F.lit("schedule_match"), F.lit(False).cast("variant"))
+    own = F.map_filter("fields", lambda name, _: ~name.isin(*added))
+    return joined.select(
+        "key", F.to_json(F.map_concat(own, F.when(F.col("_found"), matched).otherwise(unmatched))).alias("value")
+    )
+
+
 def dedupe_readings(
     readings: DataFrame,
     keys: tuple[str, ...] = ("sensor_id", "event_time"),

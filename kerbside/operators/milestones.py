@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.functions.clock import epoch_ms, time_block
+from kerbside.operators.staging import staged
 
 
 def event_milestones(
@@ -16,63 +17,54 @@ def event_milestones(
 ) -> DataFrame:
     """Events number ``every``, 2·``every``, ... in (event time, id) order: (processed, ms, event id).
 
-    No task sees the whole sequence. Events are counted per time bucket; a bucket of more than
-    ``bucket_rows`` events is counted per millisecond and run of ``bucket_rows`` ids instead, which
-    bounds it whatever the clock says. Running totals over the counts give each bucket its first
-    number, and rows are numbered within their bucket. Ids must be unique and not negative.
+    No task sees the whole sequence. Events are counted per time bucket, running totals over the counts
+    give each bucket its first number, and rows are numbered within their bucket. A bucket of more than
+    ``bucket_rows`` events is first cut further, by millisecond and run of ``bucket_rows`` ids, which
+    bounds the pieces whatever the clocks say. Ids must be unique and not negative.
     """
     rows = df.select(epoch_ms(df).alias("ms"), F.col(id_col)).where(
         F.col("ms").isNotNull() & F.col(id_col).isNotNull()
     ).withColumn("bucket", time_block(F.col("ms"), bucket_ms))
+    counts = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
 
-    hot = (
-        rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > bucket_rows).select("bucket", F.lit(True).alias("hot"))
+    # Two levels of running totals, so that none runs over more than a day's buckets or all days.
+    counts = counts.withColumn("day", F.floor(F.col("bucket") * bucket_ms / 86_400_000))
+    days = _with_start(counts.groupBy("day").agg(F.sum("n").alias("n")), [], ["day"]).select(
+        "day", F.col("start").alias("day_start")
     )
-    fine = rows.join(hot, "bucket", "left").select(
-        "bucket",
-        F.when(F.col("hot"), F.col("ms")).otherwise(F.lit(0)).alias("sub_ms"),
-        F.when(F.col("hot"), F.floor(F.col(id_col) / bucket_rows)).otherwise(F.lit(0)).alias("sub_id"),
-        "ms",
-        id_col,
+    starts = _with_start(counts, ["day"], ["bucket"]).join(days, "day").select(
+        "bucket", "n", (F.col("day_start") + F.col("start")).alias("start")
     )
-    cell = ["bucket", "sub_ms", "sub_id"]
-    counts = fine.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    small, large = starts.where(F.col("n") <= bucket_rows), starts.where(F.col("n") > bucket_rows)
+    found = _numbered(rows, small, ["bucket"], every, id_col)
+    if large.isEmpty():
+        return found
 
-    # Three levels of running totals, so that none runs over more than a day, or a bucket, of counts.
-    day = F.floor(F.col("bucket") * bucket_ms / 86_400_000)
-    per_bucket = counts.groupBy("bucket").agg(F.sum("n").alias("n")).withColumn("day", day)
-    per_day = per_bucket.groupBy("day").agg(F.sum("n").alias("n"))
-    day_start = per_day.select(
-        "day", F.coalesce(F.sum("n").over(_running(Window.partitionBy(), "day")), F.lit(0)).alias("day_start")
+    piece = ["bucket", "sub_ms", "sub_id"]
+    fine = rows.join(large.select("bucket"), "bucket", "left_semi").withColumns(
+        {"sub_ms": F.col("ms"), "sub_id": F.floor(F.col(id_col) / bucket_rows)}
     )
-    bucket_start = per_bucket.join(day_start, "day").select(
-        "bucket",
-        (
-            F.col("day_start")
-            + F.coalesce(F.sum("n").over(_running(Window.partitionBy("day"), "bucket")), F.lit(0))
-        ).alias("bucket_start"),
-    )
-    cell_start = counts.join(bucket_start, "bucket").select(
-        *cell,
-        (
-            F.col("bucket_start")
-            + F.coalesce(F.sum("n").over(_running(Window.partitionBy("bucket"), "sub_ms", "sub_id")), F.lit(0))
-        ).alias("start"),
-        "n",
-    )
-    # Only buckets that hold a milestone need their rows numbered.
-    holds_one = F.floor((F.col("start") + F.col("n")) / every) > F.floor(F.col("start") / every)
-    numbered = fine.join(cell_start.where(holds_one).drop("n"), cell).select(
-        (F.col("start") + F.row_number().over(Window.partitionBy(*cell).orderBy("ms", id_col))).alias("processed"),
-        "ms",
-        id_col,
-    )
-    return numbered.where(F.col("processed") % every == 0)
+    pieces = _with_start(fine.groupBy(*piece).agg(F.count(F.lit(1)).alias("n")), ["bucket"], ["sub_ms", "sub_id"])
+    bucket_starts = large.select("bucket", F.col("start").alias("bucket_start"))
+    piece_starts = pieces.join(bucket_starts, "bucket").withColumn("start", F.col("bucket_start") + F.col("start"))
+    return found.unionByName(_numbered(fine, piece_starts.drop("bucket_start"), piece, every, id_col))
 
 
-def _running(partition, *order: str):
-    return partition.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _with_start(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame:
+    """Counts plus the total of the counts before each one."""
+    before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def _numbered(rows: DataFrame, starts: DataFrame, piece: list[str], every: int, id_col: str) -> DataFrame:
+    # Pieces without a milestone need no numbering.
+    holds_one = F.floor((F.col("start") + F.col("n")) / every) > F.floor(F.col("start") / every)
+    place = F.row_number().over(Window.partitionBy(*piece).orderBy("ms", id_col))
+    return (
+        rows.join(starts.where(holds_one).select(*piece, "start"), piece)
+        .select((F.col("start") + place).alias("processed"), "ms", id_col)
+        .where(F.col("processed") % every == 0)
+    )
 
 
 def processed_count(df: DataFrame, every: int = 200) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.functions.json_codec import is_json_object
-from kerbside.schemas import ANY_FEED, FEED_KEYS, FEEDS
+from kerbside.schemas import ANY_FEED, FEEDS
 
 # Plausible ranges of each measurement, bounds included.
 LAT_RANGE = (12.0, 14.0)
@@ -115,10 +115,9 @@ def dlq_records(rejected: DataFrame) -> DataFrame:
 
 
 def dlq_messages(records: DataFrame) -> DataFrame:
-    """Dead-letter rows as ``(key, value)`` messages with the payload nested as JSON."""
-    payload = F.coalesce(
-        F.try_parse_json(F.col("original_payload")), F.col("original_payload").cast("variant")
-    )
+    """Dead-letter rows as ``(key, value)`` messages, a readable payload nested as JSON."""
+    text = F.col("original_payload")
+    payload = F.when(F.col("error_reason") == MALFORMED_JSON, text.cast("variant")).otherwise(F.try_parse_json(text))
     body = F.struct(
         "source_topic", "error_reason", "original_key", payload.alias("original_payload"), "quarantined_at"
     )
@@ -152,8 +151,3 @@ def null_aqi_rate(readings: DataFrame) -> DataFrame:
         missing.alias("null_readings"),
         F.when(total > 0, 100.0 * missing / total).otherwise(F.lit(0.0)).alias("null_pct"),
     )
-
-
-def feed_key(feed: str) -> str:
-    """Name of the field that keys a feed's messages."""
-    return FEED_KEYS[feed]

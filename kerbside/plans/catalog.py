@@ -89,6 +89,17 @@ def gps_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gps_enriched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bus messages enriched without a schema; the unreadable ones drop out."""
+    found = enrich.enrich_messages(
+        views.messages(spark, sf_dir, "bus_gps"), route_schedule_latest(spark, sf_dir)
+    )
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BUS_GPS.fields)
+    body = F.from_json("value", f"{schema}, scheduled_arrival_time string, route_name string, terminal string, "
+                                "schedule_match boolean")
+    return found.select(F.col("key").cast("string").alias("key"), body.alias("m")).select("key", "m.*")
+
+
 def route_schedule_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_json(route_schedule_latest(spark, sf_dir), "route_id", columns=[
         "route_id", "route_name", "terminal", "scheduled_arrival_time"])
@@ -140,7 +151,7 @@ def bus_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bus_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metres_rounded(bunching.close_contacts(views.feed(spark, sf_dir, "bus_gps")))
+    return _metres_rounded(bunching.close_contacts(views.feed(spark, sf_dir, "bus_gps"), stage_rows=True))
 
 
 def _metres_rounded(found: DataFrame) -> DataFrame:
@@ -148,10 +159,9 @@ def _metres_rounded(found: DataFrame) -> DataFrame:
 
 
 def incidents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alerts.all_incidents(
+    return alerts.all_incidents(
         aqi_emergency(spark, sf_dir), gridlock_latched(spark, sf_dir), bus_bunching(spark, sf_dir)
     )
-    return found
 
 
 def incident_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +193,7 @@ def queries() -> dict[str, Query]:
     named = [
         ward_energy_15m, energy_daily_rollup, energy_weekly_rollup, energy_monthly_rollup,
         energy_archive_latest, aqi_rolling_10m, aqi_rolling_10m_sql, aqi_advisory, aqi_quarterly_trend,
-        route_schedule_latest, route_schedule_messages, gps_enriched, dlq_records, dlq_report,
+        route_schedule_latest, route_schedule_messages, gps_enriched, gps_enriched_messages, dlq_records, dlq_report,
         dlq_report_5m, null_aqi_rate, aqi_emergency, gridlock_latched, gridlock_rolling, bus_bunching,
         bus_pair_distance, incidents_all, incident_messages, json_roundtrip, dedupe_readings,
         event_milestones, processed_count,

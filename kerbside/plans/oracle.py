@@ -320,6 +320,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT g.* EXCLUDE (ms), s.scheduled_arrival_time, s.route_name, s.terminal,
                    s.route_id IS NOT NULL AS schedule_match
             FROM bus_gps g LEFT JOIN schedule s ON s.route_id = g.route_id""",
+        "gps_enriched_messages": _BASE + _BUS_GPS + _SCHEDULE + """
+            SELECT g.route_id AS key, g.* EXCLUDE (ms, event_id, event_time),
+                   strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp,
+                   s.scheduled_arrival_time, s.route_name, s.terminal, s.route_id IS NOT NULL AS schedule_match
+            FROM bus_gps g LEFT JOIN schedule s ON s.route_id = g.route_id
+            WHERE event_id % 101 <> 0""",
         "dlq_records": rejected + """
             SELECT source_topic, error_reason, original_key, original_payload FROM rejected""",
         "dlq_report": rejected + """

@@ -80,6 +80,7 @@ def dual_sink(
             write_messages(encode_json(batch, "ward_id"))
             (
                 energy.archive_rows(batch, batch_id)
+                .repartition("ward_id", "date")  # one file per folder and batch
                 .write.mode("append")
                 .partitionBy("ward_id", "date")
                 .parquet(archive_path)
@@ -144,6 +145,22 @@ def start_enrichment(
     return _start(gps.writeStream.foreachBatch(write), checkpoint, "append", trigger or {"processingTime": "0 seconds"})
 
 
+def start_message_enrichment(
+    raw: DataFrame,
+    schedule: Callable[[], DataFrame],
+    topics: Topics,
+    topic: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The same without a schema: keys unchanged, undeclared fields passed through."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        topics.append(enrich.enrich_messages(batch, schedule()), topic)
+
+    return _start(raw.writeStream.foreachBatch(write), checkpoint, "append", trigger or {"processingTime": "0 seconds"})
+
+
 def start_dlq_router(
     raw: DataFrame, topics: Topics, topic: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

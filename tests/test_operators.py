@@ -13,7 +13,7 @@ from kerbside.functions.geo import haversine_m, pair_key
 from kerbside.functions.json_codec import decode_json, encode_json
 from kerbside.operators.advisory import _rolling_direct, health_advisories, rolling_aqi
 from kerbside.operators.energy import archive_rows, compact_archive, energy_rollup, latest_ward_energy, ward_energy
-from kerbside.operators.enrich import dedupe_readings, enrich_positions, latest_by_key
+from kerbside.operators.enrich import dedupe_readings, enrich_messages, enrich_positions, latest_by_key
 from kerbside.operators.milestones import event_milestones
 from kerbside.plans import views
 from kerbside.schemas import AIR_QUALITY, BUS_GPS
@@ -103,6 +103,20 @@ def test_enrichment_keeps_unmatched_and_keyless_positions(spark):
     assert found == {1: (True, "East"), 2: (False, None), 3: (False, None)}
 
 
+def test_message_enrichment_passes_unknown_fields(spark):
+    texts = ['{"route_id":"R1","extra":{"a":[1,2]},"lat":null}', '{"route_id":"R9","schedule_match":"old"}', "{bad", "[1]"]
+    raw = spark.createDataFrame([(b"k", t.encode()) for t in texts], "key binary, value binary")
+    schedule = spark.createDataFrame(
+        [("R1", "East", None, "08:00:00")],
+        "route_id string, route_name string, terminal string, scheduled_arrival_time string")
+    found = {json.loads(r.value)["route_id"]: json.loads(r.value) for r in enrich_messages(raw, schedule).collect()}
+    assert found == {
+        "R1": {"route_id": "R1", "extra": {"a": [1, 2]}, "lat": None, "scheduled_arrival_time": "08:00:00",
+               "route_name": "East", "terminal": None, "schedule_match": True},
+        "R9": {"route_id": "R9", "schedule_match": False},
+    }
+
+
 def test_schedule_topic_round_trip(spark, tmp_path):
     csv = tmp_path / "schedule.csv"
     csv.write_text("route_id,route_name,terminal,scheduled_arrival_time\nR1,East,Depot,08:00:00\nR2,West,Gate,09:05:00\n")

@@ -196,6 +196,13 @@ def test_enrichment_reads_the_schedule_anew(spark, feeds, tmp_path):
     matched = [v for v in sent if v["schedule_match"]]
     assert {v["route_id"] for v in matched} == {"RT-001", "RT-002", "RT-003", "RT-004"}
     assert {v["scheduled_arrival_time"] for v in matched if v["route_id"] == "RT-002"} == {"09:00:00"}
+    jobs.start_message_enrichment(
+        feeds.stream(spark, "bus_gps"), lambda: current_route_schedule(spark, out, "schedule"), out, "enriched_raw",
+        str(tmp_path / "cp2"), NOW).awaitTermination()
+    raw = values(out, "enriched_raw", spark)
+    assert len(raw) == 990  # ten messages are unreadable
+    assert {len(v) for v in raw if not v["schedule_match"]} <= {6, 7, 8}  # no schedule fields
+    assert sum(v["schedule_match"] for v in raw) == sum(v["bus_id"] is not None for v in matched)
 
 
 def test_dead_letters_and_their_report(spark, feeds, tmp_path):

@@ -52,6 +52,8 @@ CASES = [
     (meter(voltage=None), "NULL_METER_READING"),
     (("bus_gps", "{bad json"), "MALFORMED_JSON"), (("air_quality", '[{"aqi": 1}]'), "MALFORMED_JSON"),
     (("air_quality", "12"), "MALFORMED_JSON"), (("air_quality", ""), "MALFORMED_JSON"),
+    (("air_quality", '{"aqi": 1} and more'), "MALFORMED_JSON"), (("air_quality", '{"aqi": 1, "x": {"y"}}'), "MALFORMED_JSON"),
+    (("air_quality", '\n{"aqi": 1}\r\n'), None),
     (("air_quality", None), "MALFORMED_JSON"), (("smart_meters", "null"), "MALFORMED_JSON"),
     (("city.air_quality", '  {"aqi": 501}'), "OUT_OF_RANGE_AQI"),
     (("elsewhere", "{}"), None),
