@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kerbside.functions.json_codec import decode_json, encode_json
 from kerbside.operators import advisory, alerts, aqi, bunching, energy, enrich, milestones, validate
@@ -15,11 +15,20 @@ from kerbside.schemas import BUS_GPS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _six_digits(column: str) -> Column:
+    """Mean or share rounded to six digits.
+
+    Means of two-digit values often lie exactly between two roundings, where the order of summation
+    decides; the nudge, here and in the SQL, makes every order round alike.
+    """
+    return F.round(F.col(column) + 1e-9, 6)
+
+
 def ward_energy_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = energy.ward_energy(views.feed(spark, sf_dir, "smart_meters"))
     return summary.withColumns({
         "total_kwh_consumed": F.round("total_kwh_consumed", 6),
-        "avg_power_factor": F.round("avg_power_factor", 6),
+        "avg_power_factor": _six_digits("avg_power_factor"),
     })
 
 
@@ -39,7 +48,7 @@ def _energy_rollup(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
     summary = energy.ward_energy(views.feed(spark, sf_dir, "smart_meters"), weights=True)
     return energy.energy_rollup(summary, level).withColumns({
         "total_kwh_consumed": F.round("total_kwh_consumed", 4),
-        "avg_power_factor": F.round("avg_power_factor", 6),
+        "avg_power_factor": _six_digits("avg_power_factor"),
     })
 
 
@@ -59,23 +68,23 @@ def _rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aqi_rolling_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolling(spark, sf_dir).withColumn("rolling_avg_aqi", F.round("rolling_avg_aqi", 6))
+    return _rolling(spark, sf_dir).withColumn("rolling_avg_aqi", _six_digits("rolling_avg_aqi"))
 
 
 def aqi_rolling_10m_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.feed(spark, sf_dir, "air_quality").createOrReplaceTempView("aqi_readings")
     rolling = advisory.rolling_aqi_sql(spark, "aqi_readings")
-    return rolling.withColumn("rolling_avg_aqi", F.round("rolling_avg_aqi", 6))
+    return rolling.withColumn("rolling_avg_aqi", _six_digits("rolling_avg_aqi"))
 
 
 def aqi_advisory(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = advisory.health_advisories(_rolling(spark, sf_dir), views.zone_profile(spark, sf_dir))
-    return found.withColumn("rolling_avg_aqi", F.round("rolling_avg_aqi", 6))
+    return found.withColumn("rolling_avg_aqi", _six_digits("rolling_avg_aqi"))
 
 
 def aqi_quarterly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = advisory.aqi_quarterly_trend(views.feed(spark, sf_dir, "air_quality"))
-    return trend.withColumn("avg_aqi", F.round("avg_aqi", 6))
+    return trend.withColumn("avg_aqi", _six_digits("avg_aqi"))
 
 
 def route_schedule_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,17 +123,17 @@ def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.dlq_report(_rejected(spark, sf_dir)).withColumn("pct", F.round("pct", 6))
+    return validate.dlq_report(_rejected(spark, sf_dir)).withColumn("pct", _six_digits("pct"))
 
 
 def dlq_report_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = validate.dlq_report(_rejected(spark, sf_dir), "5 minutes", "event_time")
-    return report.withColumn("pct", F.round("pct", 6))
+    return report.withColumn("pct", _six_digits("pct"))
 
 
 def null_aqi_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.null_aqi_rate(views.feed(spark, sf_dir, "air_quality")).withColumn(
-        "null_pct", F.round("null_pct", 6))
+        "null_pct", _six_digits("null_pct"))
 
 
 def _valid(name: str) -> Query:

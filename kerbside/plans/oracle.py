@@ -160,7 +160,7 @@ _ENERGY = _BASE + _SMART_METERS + """, usable AS (
 def _rollup(level: str) -> str:
     return _ENERGY + f"""
     SELECT ward_id, CAST(date_trunc('{level}', window_start) AS DATE) AS period_start,
-           round(sum(kwh_reading), 4) AS total_kwh_consumed, round(avg(power_factor), 6) AS avg_power_factor,
+           round(sum(kwh_reading), 4) AS total_kwh_consumed, round(avg(power_factor) + 1e-9::DOUBLE, 6) AS avg_power_factor,
            max(voltage) AS peak_voltage, count(*) AS reading_count
     FROM usable GROUP BY 1, 2"""
 
@@ -174,7 +174,7 @@ _ROLLING = _BASE + _AIR_QUALITY + """, stepped AS (
   FROM stepped GROUP BY ALL
 )"""
 _ROLLING_RESULT = """
-SELECT window_start, window_end, zone, round(rolling_avg_aqi, 6) AS rolling_avg_aqi FROM rolling"""
+SELECT window_start, window_end, zone, round(rolling_avg_aqi + 1e-9::DOUBLE, 6) AS rolling_avg_aqi FROM rolling"""
 
 # Each hazard leads to the first one at least two minutes later, starting at a sensor's first.
 _EMERGENCY = _AIR_QUALITY + """, hazards AS (
@@ -290,7 +290,7 @@ def oracle_sql() -> dict[str, str]:
     found = {
         "ward_energy_15m": _ENERGY + """
             SELECT ward_id, window_start, window_start + INTERVAL 15 MINUTE AS window_end,
-                   round(sum(kwh_reading), 6) AS total_kwh_consumed, round(avg(power_factor), 6) AS avg_power_factor,
+                   round(sum(kwh_reading), 6) AS total_kwh_consumed, round(avg(power_factor) + 1e-9::DOUBLE, 6) AS avg_power_factor,
                    max(voltage) AS peak_voltage
             FROM usable GROUP BY 1, 2""",
         "energy_daily_rollup": _rollup("day"),
@@ -304,11 +304,11 @@ def oracle_sql() -> dict[str, str]:
         "aqi_rolling_10m_sql": _ROLLING + _ROLLING_RESULT,
         "aqi_advisory": _ROLLING + _ZONES + """
             SELECT zone, zone_name, population, num_schools, window_start, window_end,
-                   round(rolling_avg_aqi, 6) AS rolling_avg_aqi
+                   round(rolling_avg_aqi + 1e-9::DOUBLE, 6) AS rolling_avg_aqi
             FROM rolling JOIN zone_profile USING (zone) WHERE rolling_avg_aqi > 150""",
         "aqi_quarterly_trend": _BASE + _AIR_QUALITY + """
             SELECT zone, CAST(date_trunc('quarter', event_time) AS DATE) AS quarter_start,
-                   round(avg(aqi), 6) AS avg_aqi, max(aqi) AS peak_aqi, count(aqi) AS reading_count
+                   round(avg(aqi) + 1e-9::DOUBLE, 6) AS avg_aqi, max(aqi) AS peak_aqi, count(aqi) AS reading_count
             FROM air_quality WHERE aqi IS NOT NULL GROUP BY 1, 2""",
         "route_schedule_latest": schedule + " SELECT * FROM schedule",
         "route_schedule_messages": schedule + """
@@ -330,17 +330,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT source_topic, error_reason, original_key, original_payload FROM rejected""",
         "dlq_report": rejected + """
             SELECT error_reason, count(*) AS n,
-                   round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM rejected), 6) AS pct
+                   round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM rejected) + 1e-9::DOUBLE, 6) AS pct
             FROM rejected GROUP BY 1""",
         "dlq_report_5m": rejected + """, counted AS (
               SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, error_reason, count(*) AS n
               FROM rejected GROUP BY 1, 2)
             SELECT window_start, error_reason, n,
-                   round(100.0::DOUBLE * n / CAST(sum(n) OVER (PARTITION BY window_start) AS BIGINT), 6) AS pct
+                   round(100.0::DOUBLE * n / CAST(sum(n) OVER (PARTITION BY window_start) AS BIGINT) + 1e-9::DOUBLE, 6) AS pct
             FROM counted""",
         "null_aqi_rate": _BASE + _AIR_QUALITY + """
             SELECT count(*) AS total_readings, count(*) FILTER (WHERE aqi IS NULL) AS null_readings,
-                   round(100.0::DOUBLE * count(*) FILTER (WHERE aqi IS NULL) / count(*), 6) AS null_pct
+                   round(100.0::DOUBLE * count(*) FILTER (WHERE aqi IS NULL) / count(*) + 1e-9::DOUBLE, 6) AS null_pct
             FROM air_quality""",
         "aqi_emergency": _recursive(_EMERGENCY) + " SELECT * FROM emergencies",
         "gridlock_latched": _BASE + _CYCLES + " SELECT * FROM latched",
