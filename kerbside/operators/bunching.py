@@ -38,18 +38,18 @@ def bus_bunching(
     far one; it alerts once, at the first close comparison ``hold_ms`` or more after its start. Silence
     does not end a streak.
 
-    Buses are paired only in the slices in which they come near each other, and in the slice after. Each
-    pair then has one summary row per slice, chained in time order. The few slices in which the chain
-    shows an alert are compared once more, to find the very row. The small tables in between are staged in
-    the checkpoint folder; ``stage_rows`` stages the positions too, which pays when they are decoded or
+    Buses are paired only in the slices in which they come near each other, and in the slice after, to see
+    whether they parted. Each pair then has one summary row per slice, chained in time order. The few
+    slices in which the chain shows an alert are compared once more, to find the very row. The small tables
+    in between are staged in the checkpoint folder; ``stage_rows`` stages the positions too, which pays when they are decoded or
     computed rather than read from a columnar table, since they are read several times.
     """
     rows = _rows(gps, stale_ms, id_col)
     rows = staged(rows) if stage_rows else rows
-    placed = _with_carried(rows)
-    near = staged(_near_pairs(placed, metres))
+    near = staged(_near_pairs(rows, metres, stale_ms))
     looked_at = near.unionByName(near.withColumn("slice", F.col("slice") + 1)).distinct()
-    summary = staged(_slice_summaries(_comparisons(placed, looked_at, metres, stale_ms), hold_ms, stale_ms))
+    compared = _comparisons(_with_carried(rows), looked_at, metres, stale_ms)
+    summary = staged(_slice_summaries(compared, hold_ms))
     apart = _separations_in_silence(rows, near, summary, stale_ms)
     alerting = staged(_alerting_slices(summary.unionByName(apart, allowMissingColumns=True), hold_ms))
 
@@ -68,8 +68,8 @@ def close_contacts(
 ) -> DataFrame:
     """Each position within ``metres`` of another bus's last known position on the same route."""
     rows = _rows(gps, stale_ms, id_col)
-    placed = _with_carried(staged(rows) if stage_rows else rows)
-    found = _comparisons(placed, _near_pairs(placed, metres), metres, stale_ms)
+    rows = staged(rows) if stage_rows else rows
+    found = _comparisons(_with_carried(rows), _near_pairs(rows, metres, stale_ms), metres, stale_ms)
     return _named(found.where("close"), id_col)
 
 
@@ -105,28 +105,36 @@ def _both_buses(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("bus_id", F.explode(F.array("bus_a", "bus_b")))
 
 
-def _near_pairs(placed: DataFrame, metres: float) -> DataFrame:
+def _near_pairs(rows: DataFrame, metres: float, stale_ms: int) -> DataFrame:
     """(pair, slice) whose buses may have come within ``metres``: a superset, found by cell.
 
-    The smaller bus offers every cell that a ball of that radius around its positions touches, the
-    larger bus the cells of its positions. Positions are reduced to distinct cells per bus and slice
-    before they meet, so a bus that reports a lot weighs no more than one that reports little.
+    Slices are too long to meet in, since a bus drives on for minutes; buses meet in steps of a slice. The
+    positions a bus can be compared at in a step are its own there and the last one before. The smaller bus
+    offers every cell that a ball of the radius around them touches, the larger bus the cells they lie in.
+    Positions are reduced to distinct cells per bus and step before they meet, so a bus that reports a lot
+    weighs no more than one that reports little.
     """
+    steps = 6 if stale_ms % 6 == 0 else 1
     side, slack = 4 * metres, metres * 1.001 + 0.01
-    measures = []
+    cells, measures = [], []
     for i, axis in enumerate(earth_xyz(F.col("lat"), F.col("lon"))):
-        measures += [
-            F.floor(axis / side).alias(f"c{i}"),
-            F.floor((axis - slack) / side).alias(f"l{i}"),
-            F.floor((axis + slack) / side).alias(f"h{i}"),
-        ]
-    cells = placed.select(*_BUS, "slice", *measures).distinct()
-    own = cells.select("route_id", "slice", F.col("bus_id").alias("bus_b"), "c0", "c1", "c2")
-    reach = cells.select("route_id", "slice", F.col("bus_id").alias("bus_a"), "l0", "h0", "l1", "h1", "l2", "h2")
+        for name, value in ((f"c{i}", axis), (f"l{i}", axis - slack), (f"h{i}", axis + slack)):
+            cells.append(name)
+            measures.append(F.floor(value / side).alias(name))
+    placed = rows.select(*_BUS, "ms", "id", time_block(F.col("ms"), stale_ms // steps).alias("step"), *measures)
+    order = F.struct("ms", "id")
+    last = placed.groupBy(*_BUS, "step").agg(F.max_by(F.struct("ms", "id", *cells), order).alias("p"))
+    later = F.explode(F.sequence(F.col("step") + 1, F.col("step") + steps)).alias("step")
+    carried = last.select(*_BUS, later, "p.*").groupBy(*_BUS, "step").agg(
+        F.max_by(F.struct(*cells), order).alias("p")
+    )
+    reached = placed.select(*_BUS, "step", *cells).unionByName(carried.select(*_BUS, "step", "p.*")).distinct()
+    own = reached.select("route_id", "step", F.col("bus_id").alias("bus_b"), "c0", "c1", "c2")
+    ball = reached.select("route_id", "step", F.col("bus_id").alias("bus_a"), "l0", "h0", "l1", "h1", "l2", "h2")
     for i in range(3):
-        reach = reach.withColumn(f"c{i}", F.explode(F.sequence(f"l{i}", f"h{i}"))).drop(f"l{i}", f"h{i}")
-    meet = reach.join(own, ["route_id", "slice", "c0", "c1", "c2"]).where("bus_a < bus_b")
-    return meet.select(*_PAIR, "slice").distinct()
+        ball = ball.withColumn(f"c{i}", F.explode(F.sequence(f"l{i}", f"h{i}"))).drop(f"l{i}", f"h{i}")
+    meet = ball.join(own, ["route_id", "step", "c0", "c1", "c2"]).where("bus_a < bus_b")
+    return meet.select(*_PAIR, F.floor(F.col("step") / steps).alias("slice")).distinct()
 
 
 def _comparisons(placed: DataFrame, pairs: DataFrame, metres: float, stale_ms: int) -> DataFrame:
@@ -161,24 +169,18 @@ def _comparisons(placed: DataFrame, pairs: DataFrame, metres: float, stale_ms: i
     )
 
 
-def _slice_summaries(compared: DataFrame, hold_ms: int, stale_ms: int) -> DataFrame:
+def _slice_summaries(compared: DataFrame, hold_ms: int) -> DataFrame:
     """Per (pair, slice): its separations, the close run before the first and the one after the last."""
-    whole = Window.partitionBy(*_PAIR, "slice")
-    rows = compared.withColumn("separations", F.max("streak").over(whole))
-    lead = F.col("close") & (F.col("streak") == 0)
-    tail = F.col("close") & (F.col("streak") == F.col("separations")) & (F.col("separations") > 0)
-    inner_alert = F.lit(False)
-    if hold_ms < stale_ms:  # otherwise no streak can last long enough inside one slice
-        since = F.min(F.when(F.col("close"), F.col("ms"))).over(Window.partitionBy(*_PAIR, "slice", "streak"))
-        rows = rows.withColumn("since", since)
-        inner_alert = F.col("close") & (F.col("ms") - F.col("since") >= hold_ms)
-    return rows.groupBy(*_PAIR, "slice").agg(
-        F.max("separations").alias("separations"),
-        F.min(F.when(lead, F.col("ms"))).alias("lead_from"),
-        F.max(F.when(lead, F.col("ms"))).alias("lead_to"),
-        F.min(F.when(tail, F.col("ms"))).alias("tail_from"),
-        F.max(F.when(tail, F.col("ms"))).alias("tail_to"),
-        F.bool_or(inner_alert).alias("inner_alert"),
+    close_ms = F.when(F.col("close"), F.col("ms"))
+    runs = compared.groupBy(*_PAIR, "slice", "streak").agg(F.min(close_ms).alias("since"), F.max(close_ms).alias("to"))
+    lead = F.col("streak") == 0
+    return runs.groupBy(*_PAIR, "slice").agg(
+        F.max("streak").alias("separations"),
+        F.min(F.when(lead, F.col("since"))).alias("lead_from"),
+        F.min(F.when(lead, F.col("to"))).alias("lead_to"),
+        F.max_by("since", "streak").alias("tail_from"),
+        F.max_by("to", "streak").alias("tail_to"),
+        F.bool_or(F.col("to") - F.col("since") >= hold_ms).alias("inner_alert"),
     )
 
 
