@@ -39,10 +39,10 @@ def bus_bunching(
     does not end a streak.
 
     Buses are paired only in the slices in which they come near each other, and in the slice after, to see
-    whether they parted. Each pair then has one summary row per slice, chained in time order. The few
-    slices in which the chain shows an alert are compared once more, to find the very row. The small tables
-    in between are staged in the checkpoint folder; ``stage_rows`` stages the positions too, which pays when they are decoded or
-    computed rather than read from a columnar table, since they are read several times.
+    whether they parted. Each pair then has one summary row per slice, chained in time order. The few slices
+    in which the chain shows an alert are compared once more, to find the very row. The small tables in
+    between are staged in the checkpoint folder. ``stage_rows`` stages the positions too; they are read
+    several times, so that pays when they are decoded or computed rather than read from a columnar table.
     """
     rows = _rows(gps, stale_ms, id_col)
     rows = staged(rows) if stage_rows else rows
