@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; one is made only where none is named, as in tests."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="kerbside-"))
-    return context.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see.
+
+    That is what ``spark.checkpoint.dir`` (or ``setCheckpointDir``) names, else a folder in the session's
+    warehouse. A warehouse on the machine's own disk serves a local master only; on a cluster each executor
+    would write to its own disk, so that is refused.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    home = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    if home.startswith(("file:", "/")) and master != "local" and not master.startswith("local["):
+        raise ValueError("intermediate tables need a shared folder: set spark.checkpoint.dir")
+    return f"{home}/staging"
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the checkpoint folder, for plans that read them more than once.
+    """The rows as a Parquet table in the shared folder, for plans that read them more than once.
 
     Unlike a cached or locally checkpointed table it survives the loss of executors, and its file sizes
     tell the planner whether it is small enough to broadcast.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
