@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from kerbside.llm import boosting
 from kerbside.llm.words import text_slices
@@ -79,81 +78,78 @@ def document_statistics(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def features() -> dict[str, Column]:
-    """The features, from the columns of ``document_statistics``; a share of nothing is 0."""
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    lines = F.greatest(F.col("n_lines"), F.lit(1))
-    chars = F.greatest(F.col("word_chars"), F.lit(1))
-    return {
-        "symbols_per_word": F.col("n_symbols") / words,
-        "dup_line_share": F.col("n_dup_lines") / lines,
-        "repeat_share": F.col("n_repeat_words") / words,
-        "mean_word": F.col("word_chars") / words,
-        "distinct_share": F.col("n_distinct") / words,
-        "ended_line_share": F.col("n_ended_lines") / lines,
-        "letter_share": F.col("n_letters") / chars,
-        "digit_share": F.col("n_digits") / chars,
-        "long_word_share": F.col("n_long_words") / words,
-        "words_per_line": F.col("n_words") / lines,
-        "log_words": F.log1p(F.col("n_words")),
-    }
+def features(counts: np.ndarray) -> np.ndarray:
+    """The features, in the order of ``FEATURES``, from counts in the order of ``COUNTS``; shares of nothing are 0."""
+    c = dict(zip(COUNTS, counts.astype(float).T))
+    words, lines, chars = (np.maximum(c[n], 1) for n in ("n_words", "n_lines", "word_chars"))
+    return np.stack([
+        c["n_symbols"] / words, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["word_chars"] / words,
+        c["n_distinct"] / words, c["n_ended_lines"] / lines, c["n_letters"] / chars, c["n_digits"] / chars,
+        c["n_long_words"] / words, c["n_words"] / lines, np.log1p(c["n_words"]),
+    ], axis=1)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def base_failed(counts: np.ndarray) -> np.ndarray:
+    words, repeated = counts[:, COUNTS.index("n_words")], counts[:, COUNTS.index("n_repeat_words")]
+    return (words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * words)
 
 
-def fit_quality(statistics: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> boosting.Forest:
-    """Trees that tell good from bad among documents the fixed rules leave, on at most ``max_labelled`` labels.
+def fit_quality(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> boosting.Forest:
+    """Trees that tell good from bad, on at most ``max_labelled`` labels and of these on what the fixed rules leave.
 
-    Labels without a quality or document are passed over; a document labelled twice counts twice. With no labels
-    at all, every document is as good as any other.
+    Labels without a quality or document are passed over; a document labelled or present twice counts twice. With
+    no labels at all, every document is as good as any other. The labels that count are broadcast: their number is
+    bounded.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
-    sample = (
-        known.dropna().join(statistics.where(~base_failed()), "doc_id")
-        .select("quality", "doc_id", *[c.alias(n) for n, c in features().items()])
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labelled)
-        .toPandas()
-    )
-    if sample.empty:
-        return boosting.fit(np.zeros((0, len(FEATURES))), np.ones(0), tuple(FEATURES.values()))
-    return boosting.fit(
-        sample[list(FEATURES)].to_numpy(float), sample["quality"].to_numpy(float), tuple(FEATURES.values())
-    )
-
-
-def score(statistics: DataFrame, forest: boosting.Forest) -> DataFrame:
-    """``statistics`` with ``base_failed``, ``quality`` (probability of a good document) and no verdict yet."""
-    names = [*COUNTS, "base_failed"]
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
+    sample = known.dropna().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_labelled)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    labelled = texts.join(F.broadcast(sample), "doc_id").withColumnRenamed("doc_id", "_id").select(
+        F.col("label").cast("long").alias("doc_id"), "text")
+    found = document_statistics(labelled).limit(2 * max_labelled).toPandas()
+    counts = found[COUNTS].to_numpy(np.int64)
+    left = ~base_failed(counts) if len(counts) else np.zeros(0, bool)
+    y = found["doc_id"].to_numpy(float)[left]
+    x = features(counts[left]) if left.any() else np.zeros((0, len(FEATURES)))
+    return boosting.fit(x, y, tuple(FEATURES.values()))
+
+
+def _judge(forest: boosting.Forest, least: float, texts: list[bytes]):
+    """Counts of some texts, which of them fail the fixed rules, their probabilities, and which stay."""
+    counts = np.array([_counts(t) for t in texts], np.int64).reshape(-1, len(COUNTS))
+    failed, quality = base_failed(counts), forest.probability(features(counts))
+    return counts, failed, quality, ~failed & (quality >= least)
+
+
+def quality_verdicts(
+    documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, least: float = LEAST_PROBABILITY
+) -> DataFrame:
+    """Statistics, ``base_failed``, ``quality`` (probability of a good document) and ``kept`` of every row.
+
+    A NULL or empty text fails; rows that repeat a document get a row each; other columns are not read.
+    """
+    forest = fit_quality(documents, labels, max_labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in FEATURES], axis=1)
-            kept = [batch.column(c) for c in ("doc_id", *names)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(forest.probability(x))], ["doc_id", *names, "quality"])
+        for batch, texts in text_slices(batches):
+            counts, *verdict = _judge(forest, least, texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *map(pa.array, counts.T), *map(pa.array, verdict)],
+                ["doc_id", *COUNTS, "base_failed", "quality", "kept"],
+            )
 
-    schema = ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "base_failed boolean", "quality double"])
-    columns = statistics.select(
-        "doc_id", *COUNTS, base_failed().alias("base_failed"), *[c.alias(n) for n, c in features().items()]
-    )
-    return columns.mapInArrow(run, schema)
+    schema = ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "base_failed boolean", "quality double", "kept boolean"])
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def quality_verdicts(
+def keep_good(
     documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, least: float = LEAST_PROBABILITY
 ) -> DataFrame:
-    """Statistics, score and ``kept`` of every row of ``documents``; rows that repeat a document get a row each."""
-    forest = fit_quality(document_statistics(documents), labels, max_labelled)
-    scored = score(document_statistics(documents), forest)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
-
-
-def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that the verdicts keep, with all their columns."""
-    keyed = documents.withColumn("_row_id", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    rows = keyed.select(F.col("_row_id").alias("doc_id"), "text")
-    known = documents.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_row_id"))
-    own_labels = labels.select(F.col("doc_id").cast("long"), "quality").join(known, "doc_id").select(F.col("_row_id").alias("doc_id"), "quality")
-    good = quality_verdicts(rows, own_labels).where("kept").select(F.col("doc_id").alias("_row_id")).distinct()
-    return keyed.join(good, "_row_id", "left_semi").select(documents.columns)
+    """The rows of ``documents`` that the verdicts keep, with all their columns, in one pass without a shuffle."""
+    forest = fit_quality(documents, labels, max_labelled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_slices(batches):
+            yield batch.filter(pa.array(_judge(forest, least, texts)[3]))
+
+    return documents.mapInArrow(run, documents.schema)
