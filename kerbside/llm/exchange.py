@@ -142,22 +142,26 @@ def _count(blocks: int, width: int):
             if passed:
                 yield _batch(passed)
         rows, keys = read(asks)
+        asks.clear()
         noted_rows, noted = read(notes)
         if not len(keys):
             return
-        all_keys, all_rows = np.concatenate([keys, noted]), np.concatenate([rows, noted_rows])
-        weight = np.concatenate([np.ones(len(keys), np.int64), np.full(len(noted), HOT)])
-        asked = weight == 1
-        order = np.argsort(all_keys, kind="stable")
-        all_keys, all_rows, weight, asked = all_keys[order], all_rows[order], weight[order], asked[order]
-        first = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
-        sizes = np.diff(np.append(first, len(all_keys)))
-        totals = np.minimum(np.add.reduceat(weight, first), HOT)
-        owners = np.repeat(np.minimum.reduceat(all_rows, first), sizes)
-        totals = np.repeat(totals, sizes)
-        keep = asked & (totals > 1)
-        if keep.any():
-            yield _batch(_answers(all_rows[keep], all_keys[keep], totals[keep].astype(np.uint8), owners[keep], blocks))
+        order = np.argsort(keys, kind="stable")
+        keys, rows = keys[order], rows[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(np.append(first, len(keys)))
+        totals, owners = np.minimum(sizes, HOT), np.minimum.reduceat(rows, first)
+        if len(noted):
+            group = np.searchsorted(keys[first], noted)
+            known = (group < len(first)) & (keys[first][np.minimum(group, len(first) - 1)] == noted)
+            totals[group[known]] = HOT
+            np.minimum.at(owners, group[known], noted_rows[known])
+        shared = totals > 1
+        if shared.any():
+            keep, sizes = np.repeat(shared, sizes), sizes[shared]
+            counts, owners = np.repeat(totals[shared].astype(np.uint8), sizes), np.repeat(owners[shared], sizes)
+            yield _batch(_answers(rows[keep], keys[keep], counts, owners, blocks))
 
     return run
 
@@ -186,8 +190,8 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blocks_for(df: DataFrame) -> int:
-    """As many blocks as the session has shuffle partitions: the size of the data decides that setting."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Twice the session's shuffle partitions, a setting that follows the size of the data: a block fits in a task."""
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def shared_keys(
