@@ -72,17 +72,17 @@ def _row_parts(rows: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(rows.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
 
-def _answers(rows, keys, counts, owners, blocks: int) -> list[tuple]:
+def _answers(rows, keys, counts, owners, blocks: int, owned: bool) -> list[tuple]:
     parts = _row_parts(rows, blocks)
     order = np.lexsort((rows, parts))
     parts, rows, keys, counts, owners = (x[order] for x in (parts, rows, keys, counts, owners))
     return [
-        (p, _ANSWER, pack_ids(rows[s]), keys[s].tobytes(), counts[s].tobytes(), owners[s].tobytes())
+        (p, _ANSWER, pack_ids(rows[s]), keys[s].tobytes(), counts[s].tobytes(), owners[s].tobytes() if owned else b"")
         for p, s in _cuts(parts)
     ]
 
 
-def _ask(keys_of: Callable, blocks: int, width: int, hot: int):
+def _ask(keys_of: Callable, blocks: int, width: int, hot: int, owned: bool):
     kind = np.uint32 if width == 4 else np.uint64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +104,7 @@ def _ask(keys_of: Callable, blocks: int, width: int, hot: int):
                 owners = rows[first]  # the smallest row of the slice that holds the key
                 k, r, o = keys[often], rows[often], np.repeat(owners, sizes)[often]
                 keep = np.concatenate([[True], (k[1:] != k[:-1]) | (r[1:] != r[:-1])])
-                out += _answers(r[keep], k[keep], np.full(keep.sum(), HOT, np.uint8), o[keep], blocks)
+                out += _answers(r[keep], k[keep], np.full(keep.sum(), HOT, np.uint8), o[keep], blocks, owned)
                 k, o = keys[first][known], owners[known]
                 out += [
                     (p, _NOTE, pack_ids(o[s]), k[s].astype(kind).tobytes(), b"", b"") for p, s in _cuts(part_of(k))
@@ -119,7 +119,7 @@ def _ask(keys_of: Callable, blocks: int, width: int, hot: int):
     return run
 
 
-def _count(blocks: int, width: int):
+def _count(blocks: int, width: int, owned: bool):
     """One block of keys: finds those that occur more than once and answers the rows that asked."""
     kind = np.uint32 if width == 4 else np.uint64
 
@@ -161,7 +161,7 @@ def _count(blocks: int, width: int):
         if shared.any():
             keep, sizes = np.repeat(shared, sizes), sizes[shared]
             counts, owners = np.repeat(totals[shared].astype(np.uint8), sizes), np.repeat(owners[shared], sizes)
-            yield _batch(_answers(rows[keep], keys[keep], counts, owners, blocks))
+            yield _batch(_answers(rows[keep], keys[keep], counts, owners, blocks, owned))
 
     return run
 
@@ -171,7 +171,9 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts = []
     for batch in batches:
         for rows, keys, counts, owners in zip(*(batch.column(c).to_pylist() for c in _NAMES[2:])):
-            parts.append((unpack_ids(rows), np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint8), np.frombuffer(owners, np.int64)))
+            keys = np.frombuffer(keys, np.uint64)
+            owners = np.frombuffer(owners, np.int64) if owners else np.zeros(len(keys), np.int64)
+            parts.append((unpack_ids(rows), keys, np.frombuffer(counts, np.uint8), owners))
     if not parts:
         return
     rows, keys, counts, owners = (np.concatenate(x) for x in zip(*parts))
@@ -200,19 +202,21 @@ def shared_keys(
     blocks: int,
     width: int = 8,
     hot: int = 2,
+    owned: bool = True,
 ) -> DataFrame:
     """Answers for the rows ``(row_id, text)`` of which any key occurs twice or more over all rows.
 
     ``keys_of`` maps the texts of a slice to (index of the text, key), one per occurrence; ``row_id`` must not be
     NULL. With ``width=4`` keys must be ``short_keys``: told apart by block and 32 bits only, some may look shared
     that are not.
-    Counts are of occurrences and stop at ``HOT``; keys are sorted within a row.
+    Counts are of occurrences and stop at ``HOT``; keys are sorted within a row. Without ``owned`` owners are left
+    empty.
     """
     return (
         rows.select(F.col("row_id").cast("long"), "text")
-        .mapInArrow(_ask(keys_of, blocks, width, hot), _PACKED)
+        .mapInArrow(_ask(keys_of, blocks, width, hot, owned), _PACKED)
         .repartitionById(blocks, F.col("part"))
-        .mapInArrow(_count(blocks, width), _PACKED)
+        .mapInArrow(_count(blocks, width, owned), _PACKED)
         .repartitionById(blocks, F.col("part"))
         .mapInArrow(_collect, ANSWERS)
     )

@@ -28,8 +28,9 @@ from kerbside.operators.staging import staged
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Rounds in which each column's rows meet its hub only, before rows of different components meet.
-HUB_ROUNDS = 2
+#: Rounds in which rows meet the hubs of their columns only, before rows of different components meet; hubs of a
+#: column in each round; and columns of a row that count there. They decide about speed, not about results.
+HUB_ROUNDS, HUBS, HUB_COLUMNS = 2, 8, 8
 
 
 def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -140,14 +141,13 @@ class _Product:
 
     def __init__(self, rows: DataFrame, sets: DataFrame, percent: int):
         self._rows, self._sets, self._percent = rows, sets, percent
-        self._columns = rows.select(F.explode("grams").alias("gram"), "id", "n")
         self.links = None
         self._labels = None
 
     def _labelled(self) -> DataFrame:
         if self._labels is None:
-            return self._columns.withColumn("label", F.col("id"))
-        return self._columns.join(self._labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            return self._rows.withColumn("label", F.col("id"))
+        return self._rows.join(self._labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
     def _add(self, pairs: DataFrame) -> None:
         """Compute the pairs' overlaps over all columns and keep those that link."""
@@ -161,21 +161,26 @@ class _Product:
         self._labels = components(self.links)
 
     def meet_hubs(self, turn: int) -> None:
-        """Each column's rows meet the column's hub: the row that comes first in an order that changes by turn."""
-        rows = self._labelled()
-        hub = F.min(F.struct(F.xxhash64(F.col("id"), F.lit(turn)).alias("place"), "id", "n", "label"))
+        """Rows meet the hubs of their most common columns: those first in orders that change by turn."""
+        columns = F.slice(F.reverse("grams"), 1, HUB_COLUMNS)
+        rows = self._labelled().select(F.explode(columns).alias("gram"), "id", "n", "label")
+        firsts = [
+            F.min(F.struct(F.xxhash64("id", F.lit(turn * HUBS + i)).alias("place"), "id", "n", "label"))
+            for i in range(HUBS)
+        ]
         hubs = (
-            rows.groupBy("gram").agg(hub.alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
-            .where(F.col("low") != F.col("high")).select("gram", "hub")
+            rows.groupBy("gram").agg(F.array(*firsts).alias("hubs"), F.min("label").alias("low"), F.max("label").alias("high"))
+            .where(F.col("low") != F.col("high"))
+            .select("gram", F.transform("hubs", lambda h: F.struct(h["id"].alias("id"), h["n"].alias("n"), h["label"].alias("label"))).alias("hubs"))
         )
-        pairs = rows.join(hubs, "gram").where(
+        pairs = rows.join(hubs, "gram").select("id", "n", "label", F.explode(F.array_distinct("hubs")).alias("hub")).where(
             (F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n"), self._percent)
         )
-        self._add(pairs.select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct())
+        self._add(pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
 
     def meet_all(self) -> None:
         """All rows of different components that share a column, as far as the bounds let them link."""
-        rows = self._labelled()
+        rows = self._labelled().select(F.explode("grams").alias("gram"), "id", "n", "label")
         mixed = (
             rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .where(F.col("low") != F.col("high")).select("gram")
@@ -218,7 +223,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     own = known.groupBy("doc_id").agg((F.min("digest") == F.max("digest")).alias("own"))
 
     asked = rows.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "row_id")
-    shared = shared_keys(asked, _incidence(size, blocks), blocks, width=4, hot=HOT)
+    shared = shared_keys(asked, _incidence(size, blocks), blocks, width=4, hot=HOT, owned=False)
     candidates = (
         shared.withColumnRenamed("row_id", "doc_id").join(classes, "doc_id").join(own, "doc_id")
         .select(F.col("digest").alias("id"), "n", "n_keys", "own", "keys", "counts")
