@@ -7,9 +7,10 @@ The product's entries are overlaps of n-gram sets. Only those that can reach the
 * Of the others, only the rarest columns count at first: two documents that link share one of the few rarest
   n-grams of each, as many as the threshold lets a partner miss.
 * Equal sets are one row of the product. Rows found linked with a hub of their column are one component, and the
-  product is taken between components only; so a group of copies never yields all its pairs.
-* Accumulated overlaps of the rarest columns, plus what the other columns can still add by the two sizes, discard
-  pairs below the bound; the rest are computed over all columns.
+  product is taken between components only.
+* It is taken in tiles of two blocks of rows. Overlaps accumulate over the rarest columns; with what the other
+  columns can still add by the two sizes they discard pairs below the bound, and the rest are computed over all
+  columns. A tile answers with the links that join its components, so no group of copies yields all its pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ PERCENT = 75
 #: Rounds in which rows meet the hubs of their columns only, before rows of different components meet; hubs of a
 #: column in each round; and columns of a row that count there. They decide about speed, not about results.
 HUB_ROUNDS, HUBS, HUB_COLUMNS = 2, 8, 8
+#: Rows in a block of the product, and columns that are multiplied at once.
+BLOCK_ROWS, TILE_COLUMNS = 512, 4096
 
 
 def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -83,7 +86,7 @@ def _incidence(size: int, blocks: int):
 def _rarest(percent: int):
     """The shared n-grams of a row among its rarest, as (count, key); rows without enough shared ones drop out."""
     schema = pa.schema([
-        ("id", pa.binary()), ("n", pa.int64()), ("slack", pa.int64()), ("rest", pa.int64()),
+        ("id", pa.binary()), ("n", pa.int64()), ("slack", pa.int64()), ("rest", pa.int64()), ("shared", pa.int64()),
         ("last_count", pa.int32()), ("last_key", pa.int64()), ("grams", pa.list_(pa.int64())),
     ])
 
@@ -99,7 +102,7 @@ def _rarest(percent: int):
                 order = np.lexsort((keys, counts))[: len(keys) - need + 1 if own else len(keys)]
                 grams = keys[order].view(np.int64)
                 rest = need - 1 if own else n
-                out.append((row, n, n - n_keys, rest, int(counts[order[-1]]), int(grams[-1]), grams))
+                out.append((row, n, n - n_keys, rest, len(keys) if own else n, int(counts[order[-1]]), int(grams[-1]), grams))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema.names)
 
@@ -132,8 +135,15 @@ def linked(overlap: Column, a: Column, b: Column, percent: int = PERCENT) -> Col
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def needed(a: Column, b: Column, percent: int) -> Column:
+    """Least overlap with which sets of these sizes link."""
+    return F.ceil(percent * (a + b) / (100 + percent) - 1e-9)
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """By sizes alone: an overlap can't exceed either row's n-grams that stand elsewhere too."""
+    n_a, n_b, most_a, most_b = (F.col(c) for c in (f"{a}n", f"{b}n", f"{a}most", f"{b}most"))
+    return F.least(most_a, most_b) >= needed(n_a, n_b, percent)
 
 
 class _Product:
@@ -144,67 +154,127 @@ class _Product:
         self.links = None
         self._labels = None
 
-    def _labelled(self) -> DataFrame:
+    def _labelled(self, columns: Column) -> DataFrame:
+        """A row for each n-gram in ``columns``: (gram, id, n, most, label)."""
+        rows = self._rows.withColumn("most", F.col("shared") + F.col("slack"))
         if self._labels is None:
-            return self._rows.withColumn("label", F.col("id"))
-        return self._rows.join(self._labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            rows = rows.withColumn("label", F.col("id"))
+        else:
+            rows = rows.join(self._labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        return rows.select(F.explode(columns).alias("gram"), "id", "n", "most", "label")
 
     def _add(self, pairs: DataFrame) -> None:
         """Compute the pairs' overlaps over all columns and keep those that link."""
         a, b = (self._sets.select(F.col("id").alias(i), F.col("grams").alias(f"grams_{i}")) for i in "ab")
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "grams_a", "grams_b")
         overlaps = both.mapInArrow(_overlaps, "a binary, b binary, overlap long, n_a long, n_b long")
-        found = staged(
+        self._keep(staged(
             overlaps.where(linked(F.col("overlap"), F.col("n_a"), F.col("n_b"), self._percent)).select("a", "b")
-        )
+        ))
+
+    def _keep(self, found: DataFrame) -> None:
         self.links = found if self.links is None else self.links.unionByName(found)
         self._labels = components(self.links)
 
     def meet_hubs(self, turn: int) -> None:
-        """Rows meet the hubs of their most common columns: those first in orders that change by turn."""
-        columns = F.slice(F.reverse("grams"), 1, HUB_COLUMNS)
-        rows = self._labelled().select(F.explode(columns).alias("gram"), "id", "n", "label")
+        """Rows meet the hubs of their most common columns.
+
+        Half of the hubs are rows with few n-grams of their own, which in a group of edited copies are the nearest
+        to all others; the other half come first in orders that change by turn.
+        """
+        rows = self._labelled(F.slice(F.reverse("grams"), 1, HUB_COLUMNS))
         firsts = [
-            F.min(F.struct(F.xxhash64("id", F.lit(turn * HUBS + i)).alias("place"), "id", "n", "label"))
+            F.min(F.struct(
+                (F.col("n") - F.col("most") if i % 2 else F.lit(0)).alias("own"),
+                F.xxhash64("id", F.lit(turn * HUBS + i)).alias("place"), "id", "n", "most", "label",
+            ))
             for i in range(HUBS)
         ]
+        fields = ("id", "n", "most", "label")
         hubs = (
             rows.groupBy("gram").agg(F.array(*firsts).alias("hubs"), F.min("label").alias("low"), F.max("label").alias("high"))
             .where(F.col("low") != F.col("high"))
-            .select("gram", F.transform("hubs", lambda h: F.struct(h["id"].alias("id"), h["n"].alias("n"), h["label"].alias("label"))).alias("hubs"))
+            .select("gram", F.transform("hubs", lambda h: F.struct(*[h[f].alias(f) for f in fields])).alias("hubs"))
         )
-        pairs = rows.join(hubs, "gram").select("id", "n", "label", F.explode(F.array_distinct("hubs")).alias("hub")).where(
-            (F.col("label") != F.col("hub.label")) & _sizes_fit(F.col("n"), F.col("hub.n"), self._percent)
+        pairs = rows.join(hubs, "gram").select(*fields, F.explode(F.array_distinct("hubs")).alias("hub")).where(
+            (F.col("label") != F.col("hub.label")) & _may_link("", "hub.", self._percent)
         )
         self._add(pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
 
     def meet_all(self) -> None:
-        """All rows of different components that share a column, as far as the bounds let them link."""
-        rows = self._labelled().select(F.explode("grams").alias("gram"), "id", "n", "label")
-        mixed = (
-            rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where(F.col("low") != F.col("high")).select("gram")
+        """All rows of different components that share a column meet in tiles of the product.
+
+        Rows that share columns, directly or over other rows, are a cluster. A cluster's rows are dealt into blocks
+        of about ``BLOCK_ROWS`` and every two blocks are a tile; a tile finds the links that join components.
+        """
+        rows = self._labelled(F.col("grams"))
+        of_gram = (
+            rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("b"))
+            .where(F.col("low") != F.col("high")).select("gram", "b")
         )
-        rows = staged(rows.join(mixed, "gram").select("gram", "id", "n", "label"))
-        groups = rows.select("gram", "label").distinct()
-        other = groups.withColumnRenamed("label", "label_b")
-        meeting = groups.withColumnRenamed("label", "label_a").join(other, "gram").where(F.col("label_a") < F.col("label_b"))
-        a, b = (rows.select("gram", F.col("label").alias(f"label_{i}"), F.col("id").alias(i), F.col("n").alias(f"n_{i}")) for i in "ab")
-        counted = (
-            meeting.join(a, ["gram", "label_a"]).join(b, ["gram", "label_b"])
-            .where(_sizes_fit(F.col("n_a"), F.col("n_b"), self._percent))
-            .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"))
+        rows = staged(rows.join(of_gram, "gram").select(F.col("id").alias("a"), "b", "label").distinct())
+        clusters = components(rows).withColumnRenamed("label", "cluster")
+        members = rows.select(F.col("a").alias("id"), "label").distinct().join(clusters, "id")
+        counts = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+        dealt = (
+            members.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .join(self._rows, "id").join(self._sets.withColumnRenamed("grams", "full"), "id")
         )
-        for i in "ab":
-            counted = counted.join(self._rows.select(
-                F.col("id").alias(i), F.col("rest").alias(f"rest_{i}"), F.col("slack").alias(f"slack_{i}"),
-                F.struct("last_count", "last_key").alias(f"last_{i}"),
-            ), i)
-        # What is shared outside both rarest parts lies in the rest of the row whose part ends first.
-        most = F.col("met") + F.when(F.col("last_a") <= F.col("last_b"), F.col("rest_a")).otherwise(F.col("rest_b"))
-        needed = F.ceil(self._percent * (F.col("n_a") + F.col("n_b")) / (100 + self._percent) - 1e-9)
-        slack = F.greatest("slack_a", "slack_b")
-        self._add(counted.where(most >= needed - slack).select("a", "b"))
+        tiles = dealt.groupBy("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        percent = self._percent
+        found = tiles.applyInArrow(lambda tile: _tile_links(tile, percent), "a binary, b binary")
+        self._keep(staged(found))
+
+
+def _tile_links(tile: pa.Table, percent: int) -> pa.Table:
+    """Links of a tile that join components: overlaps of the rarest columns first, then of all where they may do."""
+    ids, labels = tile.column("id").to_pylist(), tile.column("label").to_pylist()
+    n, slack, rest, shared = (tile.column(c).to_numpy().astype(np.int64) for c in ("n", "slack", "rest", "shared"))
+    last = list(zip(tile.column("last_count").to_pylist(), tile.column("last_key").to_pylist()))
+    place = np.argsort(np.array(sorted(range(len(ids)), key=last.__getitem__)))
+    block, other = (tile.column(c).to_numpy() for c in ("block", "other"))
+    grams = tile.column("grams").combine_chunks()
+    row_of = np.repeat(np.arange(len(ids)), grams.value_lengths().to_numpy())
+    codes = np.unique(grams.flatten().to_numpy(), return_inverse=True)[1]
+    order = np.argsort(codes, kind="stable")
+    codes, row_of = codes[order], row_of[order]
+    met = np.zeros((len(ids), len(ids)), np.float32)
+    for start in range(0, int(codes[-1]) + 1, TILE_COLUMNS):
+        a, b = np.searchsorted(codes, [start, start + TILE_COLUMNS])
+        part = np.zeros((len(ids), TILE_COLUMNS), np.float32)
+        part[row_of[a:b], codes[a:b] - start] = 1
+        met += part @ part.T
+    least = -(-percent * (n[:, None] + n[None, :]) // (100 + percent))
+    most = shared + slack
+    ends_first = place[:, None] <= place[None, :]
+    reach = met + np.where(ends_first, rest[:, None], rest[None, :]) + np.maximum(slack[:, None], slack[None, :])
+    _, label = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)
+    may = (met > 0) & (reach >= least) & (np.minimum(most[:, None], most[None, :]) >= least)
+    may &= (label[:, None] != label[None, :]) & ((block == other)[:, None] | (block[:, None] != block[None, :]))
+    first, second = np.nonzero(np.triu(may, 1))
+    root = list(range(int(label.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+    links = []
+    for k in np.argsort(-met[first, second], kind="stable").tolist():
+        i, j = int(first[k]), int(second[k])
+        x, y = find(int(label[i])), find(int(label[j]))
+        if x == y:
+            continue
+        for r in (i, j):
+            if r not in sets:
+                sets[r] = np.frombuffer(tile.column("full")[r].as_py(), np.uint64)
+        overlap = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * overlap >= percent * (len(sets[i]) + len(sets[j]) - overlap):
+            root[x] = y
+            links.append((ids[i], ids[j]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
 
 def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -230,7 +300,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     )
     left = staged(candidates.mapInArrow(
         _rarest(percent),
-        "id binary, n long, slack long, rest long, last_count int, last_key long, grams array<long>",
+        "id binary, n long, slack long, rest long, shared long, last_count int, last_key long, grams array<long>",
     ))
     wanted = left.select(F.col("id").alias("digest")).join(classes, "digest").select("doc_id", "digest")
     grams = staged(
