@@ -320,3 +320,16 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
+
+
+def keep_one_of_each(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of ``documents`` for each group of near duplicates: that of the smallest ``doc_id``.
+
+    Documents without words and rows without ``doc_id`` stay. Of rows that repeat the smallest ``doc_id`` one stays.
+    """
+    groups = near_duplicates(documents, size, percent).where(
+        F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))
+    ).select(F.col("doc_id").alias("_dropped")).distinct()
+    left = documents.join(groups, documents["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    numbered = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return numbered.unionByName(left.where(F.col("doc_id").isNull()))

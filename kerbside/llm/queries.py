@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kerbside.llm import byte_bpe, ngram_join, quality, sharding, substring_dedup, token_counts, warc
+from kerbside.llm import (
+    byte_bpe, chat_quotes, decontaminate, license_scan, ngram_join, quality, sharding, substring_dedup, token_counts, warc,
+)
 from kerbside.operators.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,18 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, pattern)
@@ -63,8 +77,9 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
-            op1_token_counts, op2_ngram_jaccard_join, op6_byte_bpe, op7_warc, op8_sharding, op9_substring_dedup,
-            op10_quality_rules,
+            op1_token_counts, op2_ngram_jaccard_join, op3_chat_formatting, op4_license_scan,
+            op5_benchmark_decontamination, op6_byte_bpe, op7_warc, op8_sharding,
+            op9_substring_dedup, op10_quality_rules,
         )
     }
 
