@@ -33,7 +33,7 @@ PERCENT = 75
 #: column in each round; and columns of a row that count there. They decide about speed, not about results.
 HUB_ROUNDS, HUBS, HUB_COLUMNS = 2, 8, 8
 #: Rows in a block of the product, and columns that are multiplied at once.
-BLOCK_ROWS, TILE_COLUMNS = 512, 4096
+BLOCK_ROWS, TILE_COLUMNS = 256, 2048
 
 
 def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:

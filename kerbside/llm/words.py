@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
