@@ -31,7 +31,7 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 #: Rounds in which rows meet the hubs of their columns only, before rows of different components meet; hubs of a
 #: column in each round; and columns of a row that count there. They decide about speed, not about results.
-HUB_ROUNDS, HUBS, HUB_COLUMNS = 2, 8, 8
+HUB_ROUNDS, HUBS, HUB_COLUMNS = 1, 8, 8
 #: Rows in a block of the product, and columns that are multiplied at once.
 BLOCK_ROWS, TILE_COLUMNS = 256, 2048
 
@@ -152,15 +152,15 @@ class _Product:
     def __init__(self, rows: DataFrame, sets: DataFrame, percent: int):
         self._rows, self._sets, self._percent = rows, sets, percent
         self.links = None
-        self._labels = None
+        self.labels = None
 
     def _labelled(self, columns: Column) -> DataFrame:
         """A row for each n-gram in ``columns``: (gram, id, n, most, label)."""
         rows = self._rows.withColumn("most", F.col("shared") + F.col("slack"))
-        if self._labels is None:
+        if self.labels is None:
             rows = rows.withColumn("label", F.col("id"))
         else:
-            rows = rows.join(self._labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            rows = rows.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         return rows.select(F.explode(columns).alias("gram"), "id", "n", "most", "label")
 
     def _add(self, pairs: DataFrame) -> None:
@@ -174,7 +174,7 @@ class _Product:
 
     def _keep(self, found: DataFrame) -> None:
         self.links = found if self.links is None else self.links.unionByName(found)
-        self._labels = components(self.links)
+        self.labels = components(self.links)
 
     def meet_hubs(self, turn: int) -> None:
         """Rows meet the hubs of their most common columns.
@@ -311,7 +311,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     for turn in range(HUB_ROUNDS):
         product.meet_hubs(turn)
     product.meet_all()
-    reached = components(product.links)
+    reached = product.labels
     labelled = classes.join(reached, classes["digest"] == reached["id"], "left").select(
         "digest", "doc_id", F.coalesce("label", "digest").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component"))
