@@ -123,4 +123,4 @@ def _slots(rows: DataFrame, key: str, at: str, value: str) -> DataFrame:
 def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold no benchmark item, with all their columns."""
     held = leaks(documents, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return documents.join(held, documents["doc_id"].cast("long") == F.col("_leaked"), "left_anti")
+    return documents.join(held, documents["doc_id"].cast("long") == held["_leaked"], "left_anti")

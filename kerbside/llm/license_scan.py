@@ -104,6 +104,7 @@ def rules() -> list[tuple[str, str, str, float, int, bool]]:
     """(label, keyword, expression, weight, priority, base) of all rules, best priority first."""
     found = [(label, f" {words.split()[0]} ", words, 1.0, True) for words, label in BASE]
     found += [(label, key, t.format(name), w, False) for w, t in TEMPLATES for label, key, name in FAMILIES]
+    found += [(label, key, name, 0.7, False) for label, key, name in FAMILIES if label.startswith("cc")]
     found += [(label, key, words, w, False) for label, key, w, words in STATEMENTS]
     return [(label, key, rf"(?<= )(?:{e})(?= )", w, p, base) for p, (label, key, e, w, base) in enumerate(found)]
 

@@ -330,6 +330,6 @@ def keep_one_of_each(documents: DataFrame, size: int = SHINGLE_WORDS, percent: i
     groups = near_duplicates(documents, size, percent).where(
         F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))
     ).select(F.col("doc_id").alias("_dropped")).distinct()
-    left = documents.join(groups, documents["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    left = documents.join(groups, documents["doc_id"].cast("long") == groups["_dropped"], "left_anti")
     numbered = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     return numbered.unionByName(left.where(F.col("doc_id").isNull()))

@@ -249,8 +249,7 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeated(documents: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``documents`` with repeated windows cut out of ``text``; texts without any are unchanged."""
-    names = documents.columns
-    spans = repeated_spans(documents, size).withColumnsRenamed({"row_id": "_row_id", "spans": "_spans"})
-    keyed = documents.withColumn("_row_id", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    found = keyed.join(spans, "_row_id", "left").select(*names, "_spans")
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = documents.select(key.alias("row_id"), F.struct("*").alias("doc"))
+    found = keyed.join(repeated_spans(documents, size), "row_id", "left").select("doc.*", "spans")
     return found.mapInArrow(_cleaned, documents.schema)
