@@ -27,6 +27,7 @@ MARGIN = 8
 CACHE_PIECES = 400_000
 
 ENCODED = "doc_id long, ids binary"
+DECODED = ENCODED + ", decoded binary"
 
 
 class Codec:
@@ -129,38 +130,53 @@ def _encode_spans(ranks_path: str, pattern: str):
     return run
 
 
-def _join_chunks(table: pa.Table) -> pa.Table:
+def _decoded(found: Codec, ids: list[bytes], decode: bool) -> dict[str, pa.Array]:
+    return {"decoded": pa.array([found.decode(x) for x in ids], pa.binary())} if decode else {}
+
+
+def _join_chunks(ranks_path: str, pattern: str, decode: bool):
     """One text's ids. Rows that repeat a document bring each chunk as often and get a row each."""
-    k = table.column("k").to_pylist()
-    by_place = dict(zip(k, table.column("ids").to_pylist()))
-    ids = b"".join(by_place[i] for i in sorted(by_place))
-    rows = k.count(0)
-    return pa.table({"doc_id": pa.array([table.column("doc_id")[0].as_py()] * rows, pa.int64()), "ids": [ids] * rows})
+
+    def run(table: pa.Table) -> pa.Table:
+        k = table.column("k").to_pylist()
+        by_place = dict(zip(k, table.column("ids").to_pylist()))
+        ids = [b"".join(by_place[i] for i in sorted(by_place))] * k.count(0)
+        doc_ids = pa.array([table.column("doc_id")[0].as_py()] * len(ids), pa.int64())
+        return pa.table({"doc_id": doc_ids, "ids": ids} | _decoded(codec(ranks_path, pattern), ids, decode))
+
+    return run
 
 
-def _encode_whole(ranks_path: str, pattern: str):
+def _encode_whole(ranks_path: str, pattern: str, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = codec(ranks_path, pattern)
         for batch, texts in text_slices(batches):
             ids = [found.encode(found.pattern.findall(t.decode())) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            columns = {"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())} | _decoded(found, ids, decode)
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
 def encode_documents(
-    documents: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+    documents: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+    decode: bool = False,
 ) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit integers) of every row of ``documents``.
 
     A NULL or empty text has no ids. Each row gets a row, repeated rows and NULL ids too; other columns are not
     read. Special tokens are ordinary text. Only chunks of long texts are shuffled; a text's ids meet in one
-    task, so a single text must fit in a task's memory.
+    task, so a single text must fit in a task's memory. ``decode`` adds the bytes that the ids decode to as
+    ``decoded``, in the same pass.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     short = rows.where(size <= chunk)
-    whole = _encode_whole(ranks_path, pattern)
+    whole, out = _encode_whole(ranks_path, pattern, decode), DECODED if decode else ENCODED
 
     long = rows.where(size > chunk).select("doc_id", F.sha2("text", 256).alias("text_key"), "text")
     cut = "doc_id long, text_key string, k int, start long, total long, last boolean, text string"
@@ -183,12 +199,12 @@ def encode_documents(
     joined = (
         spans.where(~F.col("broken"))
         .mapInArrow(_encode_spans(ranks_path, pattern), "doc_id long, text_key string, k int, ids binary")
-        .groupBy(*of_text).applyInArrow(_join_chunks, ENCODED)
+        .groupBy(*of_text).applyInArrow(_join_chunks(ranks_path, pattern, decode), out)
     )
     broken = spans.where(F.col("broken")).select("text_key").distinct()
     unmet = long.join(broken, "text_key", "left_semi").select("doc_id", "text")
     return (
-        short.mapInArrow(whole, ENCODED).unionByName(joined).unionByName(unmet.mapInArrow(whole, ENCODED))
+        short.mapInArrow(whole, out).unionByName(joined).unionByName(unmet.mapInArrow(whole, out))
     )
 
 
@@ -201,7 +217,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
             decoded = pa.array([found.decode(x) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, ENCODED + ", decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

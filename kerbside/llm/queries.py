@@ -45,8 +45,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, pattern)
-    return byte_bpe.digests(byte_bpe.decode_documents(encoded, ranks, pattern))
+    return byte_bpe.digests(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, pattern, decode=True))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,9 @@ def test_bpe(docs):
     encoded = byte_bpe.encode_documents(both, RANKS, PATTERN, chunk=300, overlap=60)
     got = byte_bpe.decode_documents(encoded, RANKS, PATTERN).collect()
     assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist()), bytes(r.decoded)) for r in got) == want
+    at_once = byte_bpe.encode_documents(both, RANKS, PATTERN, chunk=300, overlap=60, decode=True)
+    assert Counter(map(tuple, byte_bpe.digests(at_once).collect())) == Counter(
+        map(tuple, byte_bpe.digests(byte_bpe.decode_documents(encoded, RANKS, PATTERN)).collect()))
 
 
 def test_licenses(spark):
