@@ -45,8 +45,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document with their count and digests."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_documents(docs, ranks, pattern)
-    return byte_bpe.digests(byte_bpe.decode_documents(encoded, ranks, pattern))
+    return byte_bpe.digests(byte_bpe.encode_documents(docs, ranks, pattern, decode=True))
 
 
 STAGES = [
