@@ -71,11 +71,17 @@ def dedupe_readings(
     order: str = "event_id",
     lateness: str | None = None,
 ) -> DataFrame:
-    """One row per redelivered reading: the first by ``order``, or on a stream the first to arrive."""
+    """One row per redelivered reading: the first by ``order``, or on a stream the first to arrive.
+
+    A reading with a NULL key can't be told from another and stays.
+    """
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    named, unnamed = readings.where(known), readings.where(~known)
     if readings.isStreaming:
-        return readings.withWatermark("event_time", lateness or "5 minutes").dropDuplicatesWithinWatermark(
-            list(keys)
-        )
+        once = named.withWatermark("event_time", lateness or "5 minutes").dropDuplicatesWithinWatermark(list(keys))
+        return once.unionByName(unnamed)
     others = [c for c in readings.columns if c not in keys]
-    first = readings.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
-    return first.select(*keys, *[F.col("_r").getField(c).alias(c) for c in others]).select(*readings.columns)
+    first = named.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
+    return first.select(*keys, *[F.col("_r").getField(c).alias(c) for c in others]).select(*readings.columns).unionByName(unnamed)

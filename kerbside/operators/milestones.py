@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.functions.clock import epoch_ms, time_block
-from kerbside.operators.staging import staged
 
 
 def event_milestones(
@@ -25,7 +24,7 @@ def event_milestones(
     rows = df.select(epoch_ms(df).alias("ms"), F.col(id_col)).where(
         F.col("ms").isNotNull() & F.col(id_col).isNotNull()
     ).withColumn("bucket", time_block(F.col("ms"), bucket_ms))
-    counts = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
     # Two levels of running totals, so that none runs over more than a day's buckets or all days.
     counts = counts.withColumn("day", F.floor(F.col("bucket") * bucket_ms / 86_400_000))
@@ -35,19 +34,18 @@ def event_milestones(
     starts = _with_start(counts, ["day"], ["bucket"]).join(days, "day").select(
         "bucket", "n", (F.col("day_start") + F.col("start")).alias("start")
     )
-    small, large = starts.where(F.col("n") <= bucket_rows), starts.where(F.col("n") > bucket_rows)
-    found = _numbered(rows, small, ["bucket"], every, id_col)
-    if large.isEmpty():
-        return found
-
-    piece = ["bucket", "sub_ms", "sub_id"]
-    fine = rows.join(large.select("bucket"), "bucket", "left_semi").withColumns(
-        {"sub_ms": F.col("ms"), "sub_id": F.floor(F.col(id_col) / bucket_rows)}
+    # Pieces of a bucket are the bucket itself, or runs of ids within a millisecond where it is too large.
+    piece, cut = ["bucket", "sub_ms", "sub_id"], F.col("n") > bucket_rows
+    fine = rows.join(starts, "bucket").select(
+        "bucket", "ms", id_col, "start",
+        F.when(cut, F.col("ms")).otherwise(0).alias("sub_ms"),
+        F.when(cut, F.floor(F.col(id_col) / bucket_rows)).otherwise(0).alias("sub_id"),
+    )
+    counted = fine.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("bucket_start"))
+    pieces = _with_start(counted, ["bucket"], ["sub_ms", "sub_id"]).withColumn(
+        "start", F.col("bucket_start") + F.col("start")
     )
-    pieces = _with_start(fine.groupBy(*piece).agg(F.count(F.lit(1)).alias("n")), ["bucket"], ["sub_ms", "sub_id"])
-    bucket_starts = large.select("bucket", F.col("start").alias("bucket_start"))
-    piece_starts = pieces.join(bucket_starts, "bucket").withColumn("start", F.col("bucket_start") + F.col("start"))
-    return found.unionByName(_numbered(fine, piece_starts.drop("bucket_start"), piece, every, id_col))
+    return _numbered(fine.drop("start"), pieces, piece, every, id_col)
 
 
 def _with_start(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame:

@@ -209,6 +209,11 @@ def test_archive_versions_and_compaction(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ward_id" in plan
 
 
+def test_dedupe_keeps_readings_without_time(spark):
+    rows = spark.createDataFrame([("S1", None, 1.0, 1), ("S1", None, 2.0, 2)], "sensor_id string, event_time timestamp, aqi double, event_id long")
+    assert sorted(r.event_id for r in dedupe_readings(rows).collect()) == [1, 2]
+
+
 # --- milestones ----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("bucket_rows", [10, 150, 4_000_000])
