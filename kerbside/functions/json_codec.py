@@ -7,10 +7,22 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from kerbside.functions.clock import parse_event_time
 
 
-def is_json_object(text: Column) -> Column:
-    """True when the text is one JSON object from its first brace to its last; never NULL."""
-    closed = F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
-    return F.coalesce(closed & F.json_object_keys(text).isNotNull(), F.lit(False))
+#: Field of the element that follows each text while it is parsed.
+END = "_end_of_message"
+
+
+def bracketed(text: Column) -> Column:
+    """The text as the first of two elements of a JSON array.
+
+    Text that ends early, goes on after its object, or is no object then spoils the array or hides its end.
+    """
+    return F.concat(F.lit("["), text, F.lit(f',{{"{END}":true}}]'))
+
+
+def sole_object(elements: Column) -> Column:
+    """What was parsed from ``bracketed`` text, if that is one whole object, else NULL."""
+    whole = (F.size(elements) == 2) & F.get(elements, F.lit(1))[END].isNotNull()
+    return F.when(whole, F.get(elements, F.lit(0)))
 
 
 def decode_json(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -51,25 +54,35 @@ def energy_rollup(summary: DataFrame, level: str = "day") -> DataFrame:
     )
 
 
-def archive_rows(summary: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Summary rows as archived: with the partition column ``date`` and the batch that wrote them."""
+def archive_rows(summary: DataFrame, batch_id: int | None = None, job_started: datetime | None = None) -> DataFrame:
+    """Summary rows as archived: with the partition column ``date``, the batch that wrote them and its job's start."""
     rows = summary.withColumn("date", F.to_date("window_start"))
-    return rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if batch_id is not None:
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    return rows if job_started is None else rows.withColumn("job_started", F.lit(job_started).cast("timestamp"))
 
 
 def latest_ward_energy(archive: DataFrame) -> DataFrame:
-    """Newest version of each (ward, window) in an archive that update-mode batches append to."""
+    """Newest version of each (ward, window) in an archive that update-mode batches append to.
+
+    The start of the job decides before the batch, whose numbers begin again with a new checkpoint.
+    """
     keys = ["ward_id", "window_start"]
     others = [c for c in archive.columns if c not in keys]
-    newest = archive.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("_r"))
+    newer = [c for c in ("job_started", "batch_id") if c in others]
+    newest = archive.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*newer)).alias("_r"))
     return newest.select(*keys, *[F.col("_r").getField(c).alias(c) for c in others]).select(*archive.columns)
 
 
 def compact_archive(archive: DataFrame, path: str) -> None:
     """Rewrite an archive to one version per window and one file per (ward, date).
 
-    Dates of one ward spread over tasks, so a ward with most of the rows is no hot spot.
+    Dates of one ward spread over tasks, so a ward with most of the rows is no hot spot. ``path`` must not hold
+    the archive itself: overwriting it would delete what is still to be read.
     """
+    target = path.removeprefix("file:").rstrip("/") + "/"
+    if any(unquote(f).removeprefix("file:").replace("///", "/").startswith(target) for f in archive.inputFiles()):
+        raise ValueError(f"{path} holds the archive that is to be compacted")
     (
         latest_ward_energy(archive)
         .repartition("ward_id", "date")

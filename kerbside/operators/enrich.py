@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from kerbside.functions.json_codec import bracketed, sole_object
+
 SCHEDULE_COLUMNS = ("scheduled_arrival_time", "route_name", "terminal")
 
 
@@ -45,8 +47,12 @@ def enrich_messages(raw: DataFrame, schedule: DataFrame) -> DataFrame:
     """
     added = [*SCHEDULE_COLUMNS, "schedule_match"]
     # Generated, so that each message is parsed once.
-    fields = F.from_json(F.col("value").cast("string"), "map<string, variant>")
-    parsed = raw.select("key", F.explode(F.array(fields)).alias("fields")).where(F.col("fields").isNotNull())
+    text = bracketed(F.col("value").cast("string"))
+    elements = F.from_json(text, "array<map<string, variant>>", {"allowSingleQuotes": "false"})
+    parsed = (
+        raw.select("key", F.explode(F.array(elements)).alias("_p"))
+        .select("key", sole_object(F.col("_p")).alias("fields")).where(F.col("fields").isNotNull())
+    )
     route = F.try_variant_get(F.col("fields")["route_id"], "$", "string")
     side = schedule.select("route_id", *SCHEDULE_COLUMNS)
     joined = parsed.withColumn("route_id", route).join(side.withColumn("_found", F.lit(True)), "route_id", "left")

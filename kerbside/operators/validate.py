@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from kerbside.functions.json_codec import is_json_object
+from kerbside.functions.json_codec import END, bracketed, sole_object
 from kerbside.schemas import ANY_FEED, FEEDS
 
 # Plausible ranges of each measurement, bounds included.
@@ -83,17 +83,18 @@ def validate_messages(raw: DataFrame) -> DataFrame:
     A value that is no JSON object (unreadable, array, scalar, empty or missing) is MALFORMED_JSON.
     A message of an unknown feed carries no reason: no rule applies to it.
     """
-    text = F.col("value").cast("string")
-    # One generated row per message: unlike a projected column, its struct is not copied into every
-    # filter and branch above, so each message is parsed once.
-    parsed = F.struct(F.from_json(text, ANY_FEED).alias("m"), is_json_object(text).alias("ok"))
+    elements = T.ArrayType(T.StructType([*ANY_FEED.fields, T.StructField(END, T.BooleanType())]))
+    # One generated row per message: unlike a projected column, it is not copied into every filter and branch
+    # above, so each message is parsed once.
+    parsed = F.from_json(bracketed(F.col("value").cast("string")), elements, {"allowSingleQuotes": "false"})
     decoded = raw.select("*", F.explode(F.array(parsed)).alias("_p"))
+    body = F.get("_p", F.lit(0))
     by_feed = F.lit(None).cast("string")
     for feed in FEEDS:
         by_feed = F.when(
-            feed_of(F.col("topic")) == feed, error_reason(feed, lambda name: F.col(f"_p.m.{name}"))
+            feed_of(F.col("topic")) == feed, error_reason(feed, body.getField)
         ).otherwise(by_feed)
-    reason = F.when(~F.col("_p.ok"), F.lit(MALFORMED_JSON)).otherwise(by_feed)
+    reason = F.when(sole_object(F.col("_p")).isNull(), F.lit(MALFORMED_JSON)).otherwise(by_feed)
     return decoded.withColumn("error_reason", reason).drop("_p")
 
 
@@ -104,11 +105,11 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dlq_records(rejected: DataFrame) -> DataFrame:
-    """Rejected messages as dead-letter rows; an unreadable payload is kept as its raw text."""
+    """Rejected messages as dead-letter rows; an unreadable payload is kept as its raw text, an empty key as NULL."""
     return rejected.select(
         F.col("topic").alias("source_topic"),
         "error_reason",
-        F.col("key").cast("string").alias("original_key"),
+        F.nullif(F.col("key").cast("string"), F.lit("")).alias("original_key"),
         F.col("value").cast("string").alias("original_payload"),
         F.current_timestamp().alias("quarantined_at"),
     )
@@ -117,7 +118,9 @@ def dlq_records(rejected: DataFrame) -> DataFrame:
 def dlq_messages(records: DataFrame) -> DataFrame:
     """Dead-letter rows as ``(key, value)`` messages, a readable payload nested as JSON."""
     text = F.col("original_payload")
-    payload = F.when(F.col("error_reason") == MALFORMED_JSON, text.cast("variant")).otherwise(F.try_parse_json(text))
+    raw = text.cast("variant")
+    # NaN passes for a number in messages but not in a nested payload, which then stays text.
+    payload = F.when(F.col("error_reason") == MALFORMED_JSON, raw).otherwise(F.coalesce(F.try_parse_json(text), raw))
     body = F.struct(
         "source_topic", "error_reason", "original_key", payload.alias("original_payload"), "quarantined_at"
     )

@@ -45,7 +45,7 @@ def energy_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _energy_rollup(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
-    summary = energy.ward_energy(views.feed(spark, sf_dir, "smart_meters"), weights=True)
+    summary = energy.ward_energy(views.feed(spark, sf_dir, "smart_meters", year=True), weights=True)
     return energy.energy_rollup(summary, level).withColumns({
         "total_kwh_consumed": F.round("total_kwh_consumed", 4),
         "avg_power_factor": _six_digits("avg_power_factor"),
@@ -53,10 +53,13 @@ def _energy_rollup(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
 
 
 def energy_archive_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two update-mode batches, the second with every reading, appended to one archive and reconciled."""
+    """Two update-mode batches, the second with the windows that changed, appended to one archive and reconciled."""
     meters = views.feed(spark, sf_dir, "smart_meters")
-    early = energy.ward_energy(meters.where(F.col("event_time") < F.lit("2024-01-01 06:07:00").cast("timestamp_ntz")))
-    archive = energy.archive_rows(early, 0).unionByName(energy.archive_rows(energy.ward_energy(meters), 1))
+    cut = F.lit("2024-01-01 06:07:00").cast("timestamp_ntz")
+    early = energy.ward_energy(meters.where(F.col("event_time") < cut))
+    changed = energy.ward_energy(meters.where(F.col("event_time") >= cut)).select("ward_id", "window_start")
+    updated = energy.ward_energy(meters).join(changed, ["ward_id", "window_start"], "left_semi")
+    archive = energy.archive_rows(early, 0).unionByName(energy.archive_rows(updated, 1))
     return energy.latest_ward_energy(archive).select(
         "ward_id", "window_start", "date", "batch_id",
         F.round("total_kwh_consumed", 6).alias("total_kwh_consumed"), "peak_voltage",
@@ -83,7 +86,7 @@ def aqi_advisory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aqi_quarterly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trend = advisory.aqi_quarterly_trend(views.feed(spark, sf_dir, "air_quality"))
+    trend = advisory.aqi_quarterly_trend(views.feed(spark, sf_dir, "air_quality", year=True))
     return trend.withColumn("avg_aqi", _six_digits("avg_aqi"))
 
 
@@ -174,14 +177,12 @@ def incidents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Emergency and gridlock alerts as unkeyed JSON with their NULL fields written out."""
-    found = alerts.as_alert(aqi_emergency(spark, sf_dir), alerts.AQI_EMERGENCY).unionByName(
-        alerts.as_alert(gridlock_latched(spark, sf_dir), alerts.TRAFFIC_GRIDLOCK))
-    return encode_json(found, None, keep_nulls=True)
+    """All alerts as unkeyed JSON with their NULL fields written out."""
+    return encode_json(incidents_all(spark, sf_dir), None, keep_nulls=True)
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bus messages decoded again; the unreadable ones come back as all-NULL rows."""
+    """Bus messages decoded again; of unreadable ones only the fields before the fault come back."""
     decoded = decode_json(views.messages(spark, sf_dir, "bus_gps"), BUS_GPS, keep=("offset",))
     return decoded.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")).drop("timestamp")
 
@@ -195,7 +196,7 @@ def event_milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return milestones.processed_count(views.feed(spark, sf_dir, "traffic_signals"))
+    return milestones.processed_count(views.table(spark, sf_dir, "events"))
 
 
 def queries() -> dict[str, Query]:

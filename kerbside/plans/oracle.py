@@ -31,8 +31,8 @@ _BUS_GPS = """, bus_gps AS (
 )"""
 
 _AIR_QUALITY = """, air_quality AS (
-  SELECT 'AQS-' || lpad(CAST(u % 20 + 1 AS VARCHAR), 3, '0') AS sensor_id,
-         'ZONE-' || lpad(CAST(u % 10 + 1 AS VARCHAR), 2, '0') AS zone,
+  SELECT 'AQS-' || lpad(CAST(u % 60 + 1 AS VARCHAR), 3, '0') AS sensor_id,
+         'ZONE-' || lpad(CAST(u % 30 + 1 AS VARCHAR), 2, '0') AS zone,
          CASE WHEN id % 20 = 0 THEN NULL ELSE value END AS pm25,
          CASE WHEN id % 20 = 0 THEN NULL ELSE value * 1.2::DOUBLE END AS pm10,
          CASE WHEN id % 20 = 0 THEN NULL ELSE k::DOUBLE END AS no2,
@@ -67,9 +67,9 @@ _SMART_METERS = """, smart_meters AS (
 _SCHEDULE = """, schedule_log AS (
   SELECT 'RT-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS route_id, n_name AS route_name,
          'T-' || n_name AS terminal,
-         '08:' || lpad(CAST(5 * n_nationkey AS VARCHAR), 2, '0') || ':00' AS scheduled_arrival_time,
+         strftime(TIMESTAMP '2024-01-01 08:00:00' + to_minutes(CAST(5 * n_nationkey AS INTEGER)), '%H:%M:%S') AS scheduled_arrival_time,
          n_nationkey AS pos
-  FROM nation WHERE n_nationkey < 5
+  FROM nation
   UNION ALL
   SELECT 'RT-002', n_name, 'T-' || n_name, '09:00:00', 100 FROM nation WHERE n_nationkey = 1
   UNION ALL
@@ -84,7 +84,7 @@ _ZONES = """, zone_profile AS (
   SELECT 'ZONE-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS zone, n_name AS zone_name,
          CAST(100000 + 10000 * n_nationkey AS INTEGER) AS population,
          CAST(20 + n_nationkey AS INTEGER) AS num_schools
-  FROM nation WHERE n_nationkey < 8
+  FROM nation
 )"""
 
 # Fault codes, tested in this order.
@@ -140,7 +140,9 @@ def _rejected() -> str:
         reason, text = _REASONS[feed], _json_text(feed)
         if feed == "bus_gps":
             reason = f"CASE WHEN event_id % 101 = 0 THEN 'MALFORMED_JSON' ELSE {reason} END"
-            text = f"CASE WHEN event_id % 101 = 0 THEN '{{bad json' ELSE {text} END"
+            text = f"CASE WHEN event_id % 101 = 0 THEN CASE WHEN event_id % 2 = 0 THEN '{{bad json'"
+            text += f""" WHEN event_id % 3 = 0 THEN '{{"lat": 13.0}}{{"lon": 77.0}}' ELSE '{{"lat": 13.0}} junk}}' END"""
+            text += f" ELSE {_json_text(feed)} END"
         branches.append(
             f"SELECT '{feed}' AS source_topic, {reason} AS error_reason, {_FEED_KEY[feed]} AS original_key,"
             f" {text} AS original_payload, event_time FROM {feed}"
@@ -157,8 +159,13 @@ _ENERGY = _BASE + _SMART_METERS + """, usable AS (
 )"""
 
 
+def _year(sql: str) -> str:
+    """The same views with the 30 days stretched to a year."""
+    return sql.replace("// 60 AS et", "* 12 AS et")
+
+
 def _rollup(level: str) -> str:
-    return _ENERGY + f"""
+    return _year(_ENERGY) + f"""
     SELECT ward_id, CAST(date_trunc('{level}', window_start) AS DATE) AS period_start,
            round(sum(kwh_reading), 4) AS total_kwh_consumed, round(avg(power_factor) + 1e-9::DOUBLE, 6) AS avg_power_factor,
            max(voltage) AS peak_voltage, count(*) AS reading_count
@@ -297,7 +304,8 @@ def oracle_sql() -> dict[str, str]:
         "energy_weekly_rollup": _rollup("week"),
         "energy_monthly_rollup": _rollup("month"),
         "energy_archive_latest": _ENERGY + """
-            SELECT ward_id, window_start, CAST(window_start AS DATE) AS date, CAST(1 AS BIGINT) AS batch_id,
+            SELECT ward_id, window_start, CAST(window_start AS DATE) AS date,
+                   CAST(max(event_time) >= TIMESTAMP '2024-01-01 06:07:00' AS BIGINT) AS batch_id,
                    round(sum(kwh_reading), 6) AS total_kwh_consumed, max(voltage) AS peak_voltage
             FROM usable GROUP BY 1, 2""",
         "aqi_rolling_10m": _ROLLING + _ROLLING_RESULT,
@@ -306,7 +314,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT zone, zone_name, population, num_schools, window_start, window_end,
                    round(rolling_avg_aqi + 1e-9::DOUBLE, 6) AS rolling_avg_aqi
             FROM rolling JOIN zone_profile USING (zone) WHERE rolling_avg_aqi > 150""",
-        "aqi_quarterly_trend": _BASE + _AIR_QUALITY + """
+        "aqi_quarterly_trend": _year(_BASE) + _AIR_QUALITY + """
             SELECT zone, CAST(date_trunc('quarter', event_time) AS DATE) AS quarter_start,
                    round(avg(aqi) + 1e-9::DOUBLE, 6) AS avg_aqi, max(aqi) AS peak_aqi, count(aqi) AS reading_count
             FROM air_quality WHERE aqi IS NOT NULL GROUP BY 1, 2""",
@@ -357,14 +365,14 @@ def oracle_sql() -> dict[str, str]:
             FROM compared WHERE distance <= 200""",
         "incidents_all": _recursive(_EMERGENCY + _CYCLES + _BUNCHED)
         + f" {_ALERT_AQI} UNION ALL {_ALERT_GRIDLOCK} UNION ALL {_ALERT_BUNCHING}",
-        "incident_messages": _recursive(_EMERGENCY + _CYCLES)
+        "incident_messages": _recursive(_EMERGENCY + _CYCLES + _BUNCHED)
         + f" SELECT CAST(NULL AS VARCHAR) AS key, {_ALERT_JSON} AS value"
-        + f" FROM ({_ALERT_AQI} UNION ALL {_ALERT_GRIDLOCK})",
+        + f" FROM ({_ALERT_AQI} UNION ALL {_ALERT_GRIDLOCK} UNION ALL {_ALERT_BUNCHING})",
         "json_roundtrip": _BASE + _BUS_GPS + """
             SELECT event_id AS "offset",
                    CASE WHEN event_id % 101 <> 0 THEN bus_id END AS bus_id,
                    CASE WHEN event_id % 101 <> 0 THEN route_id END AS route_id,
-                   CASE WHEN event_id % 101 <> 0 THEN lat END AS lat,
+                   CASE WHEN event_id % 101 <> 0 THEN lat WHEN event_id % 2 = 1 THEN 13.0::DOUBLE END AS lat,
                    CASE WHEN event_id % 101 <> 0 THEN lon END AS lon,
                    CASE WHEN event_id % 101 <> 0 THEN speed_kmh END AS speed_kmh,
                    CASE WHEN event_id % 101 <> 0 THEN occupancy_pct END AS occupancy_pct,

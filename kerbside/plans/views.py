@@ -23,8 +23,8 @@ _BUS_GPS = [
     "k AS occupancy_pct",
 ]
 _AIR_QUALITY = [
-    "concat('AQS-', lpad(u % 20 + 1, 3, '0')) AS sensor_id",
-    "concat('ZONE-', lpad(u % 10 + 1, 2, '0')) AS zone",
+    "concat('AQS-', lpad(u % 60 + 1, 3, '0')) AS sensor_id",
+    "concat('ZONE-', lpad(u % 30 + 1, 2, '0')) AS zone",
     "CASE WHEN id % 20 = 0 THEN NULL ELSE value END AS pm25",
     "CASE WHEN id % 20 = 0 THEN NULL ELSE value * 1.2D END AS pm10",
     "CASE WHEN id % 20 = 0 THEN NULL ELSE CAST(k AS DOUBLE) END AS no2",
@@ -58,17 +58,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One sensor feed as typed rows with ``event_time`` (NTZ) and ``event_id``."""
-    # 30 days become 12 hours, so that rules on the scale of minutes fire.
-    compressed = F.floor(ntz_micros("ts", "2024-01-01 00:00:00") / 60)
+def feed(spark: SparkSession, sf_dir: str, name: str, year: bool = False) -> DataFrame:
+    """One sensor feed as typed rows with ``event_time`` (NTZ) and ``event_id``.
+
+    30 days become 12 hours, so that rules on the scale of minutes fire, or a ``year`` for reports over periods.
+    """
+    micros = ntz_micros("ts", "2024-01-01 00:00:00")
+    scaled = micros * 12 if year else F.floor(micros / 60)
     number = F.get_json_object("props", "$.k").cast("int")
     # Generated, not projected: the JSON is then read once per event however often k is used above.
     base = table(spark, sf_dir, "events").select(
-        F.inline(F.array(F.struct(
-            F.col("event_id").alias("id"), F.col("user_id").alias("u"), "value",
-            number.alias("k"), compressed.alias("et"),
-        )))
+        F.col("event_id").alias("id"), F.col("user_id").alias("u"), "value",
+        F.explode(F.array(number)).alias("k"), scaled.alias("et"),
     )
     event_time = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'") + F.make_dt_interval(
         secs=(F.col("et") / 1_000_000).cast("decimal(18,6)")
@@ -79,13 +80,16 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One feed as keyed JSON messages; of the bus feed every 101st value is unreadable."""
+    """One feed as keyed JSON messages; of the bus feed some values are unreadable: they break off, go on
+    after the object or hold a second one."""
     rows = feed(spark, sf_dir, name).withColumn(
         "timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     )
     text = F.to_json(F.struct(*FEEDS[name].fieldNames()))
     if name == "bus_gps":
-        text = F.when(F.col("event_id") % 101 == 0, F.lit("{bad json")).otherwise(text)
+        bad = F.when(F.col("event_id") % 2 == 0, F.lit("{bad json")).when(
+            F.col("event_id") % 3 == 0, F.lit('{"lat": 13.0}{"lon": 77.0}')).otherwise(F.lit('{"lat": 13.0} junk}'))
+        text = F.when(F.col("event_id") % 101 == 0, bad).otherwise(text)
     return rows.select(
         F.col(FEED_KEYS[name]).cast("binary").alias("key"),
         text.cast("binary").alias("value"),
@@ -111,7 +115,7 @@ def duplicated_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").where("n_nationkey < 8").selectExpr(
+    return table(spark, sf_dir, "nation").selectExpr(
         "concat('ZONE-', lpad(n_nationkey + 1, 2, '0')) AS zone",
         "n_name AS zone_name",
         "100000 + 10000 * n_nationkey AS population",
@@ -121,13 +125,13 @@ def zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_schedule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert log of the route schedule, with one update (RT-002) and one delete (RT-005)."""
-    routes = table(spark, sf_dir, "nation").where("n_nationkey < 5")
+    routes = table(spark, sf_dir, "nation")
     number = F.col("n_nationkey")
     base = routes.select(
         F.concat(F.lit("RT-"), F.lpad((number + 1).cast("string"), 3, "0")).alias("route_id"),
         F.col("n_name").alias("route_name"),
         F.concat(F.lit("T-"), "n_name").alias("terminal"),
-        F.format_string("08:%02d:00", number * 5).alias("scheduled_arrival_time"),
+        F.format_string("%02d:%02d:00", F.expr("8 + n_nationkey div 12"), number * 5 % 60).alias("scheduled_arrival_time"),
         number.cast("long").alias("offset"),
     )
     update = base.where("route_id = 'RT-002'").withColumns(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -70,16 +71,17 @@ def dual_sink(
     """Micro-batch writer of ward summaries: keyed JSON and the partitioned Parquet archive.
 
     The batch is computed once for both. A window appears in the archive once per batch that changed it,
-    marked with the batch id; ``latest_ward_energy`` picks the newest, which also absorbs a batch that
+    marked with the batch id and the start of the job; ``latest_ward_energy`` picks the newest, which also absorbs a batch that
     was written twice because the job failed in between.
     """
+    started = datetime.now(timezone.utc)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_messages(encode_json(batch, "ward_id"))
+            write_messages(encode_json(batch.drop("reading_count", "power_factor_count"), "ward_id"))
             (
-                energy.archive_rows(batch, batch_id)
+                energy.archive_rows(batch, batch_id, started)
                 .repartition("ward_id", "date")  # one file per folder and batch
                 .write.mode("append")
                 .partitionBy("ward_id", "date")
@@ -96,7 +98,7 @@ def start_ward_energy(
 ) -> StreamingQuery:
     """Ward energy windows to a topic keyed by ward and to the archive."""
     sink = dual_sink(topics.writer(topic), archive_path)
-    writer = energy.ward_energy(meters).writeStream.foreachBatch(sink)
+    writer = energy.ward_energy(meters, weights=True).writeStream.foreachBatch(sink)
     return _start(writer, checkpoint, "update", _every(trigger))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,6 +210,20 @@ def test_archive_versions_and_compaction(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ward_id" in plan
 
 
+def test_archive_of_a_new_checkpoint_and_its_own_path(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("W", datetime(2024, 1, 1), 1.0)], "ward_id string, window_start timestamp, total_kwh_consumed double")
+    path = str(tmp_path / "archive")
+    for total, number, day in ((1.0, 7, 1), (2.0, 0, 2)):
+        batch = rows.withColumn("total_kwh_consumed", F.lit(total))
+        archive_rows(batch, number, datetime(2024, 2, day)).write.mode("append").partitionBy("ward_id", "date").parquet(path)
+    archive = read_energy_archive(spark, path)
+    assert [r.total_kwh_consumed for r in latest_ward_energy(archive).collect()] == [2.0]
+    with pytest.raises(ValueError):
+        compact_archive(archive, path)
+    assert read_energy_archive(spark, path).count() == 2
+
+
 def test_dedupe_keeps_readings_without_time(spark):
     rows = spark.createDataFrame([("S1", None, 1.0, 1), ("S1", None, 2.0, 2)], "sensor_id string, event_time timestamp, aqi double, event_id long")
     assert sorted(r.event_id for r in dedupe_readings(rows).collect()) == [1, 2]

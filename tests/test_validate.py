@@ -76,6 +76,27 @@ def test_reason(reasons, number):
     assert reasons[number] == CASES[number][1]
 
 
+@pytest.mark.parametrize("text, reason", [
+    ('{"aqi": 10} junk}', "MALFORMED_JSON"),
+    ('{"aqi": 10}{"b":1}', "MALFORMED_JSON"),
+    ("{'aqi': 10}", "MALFORMED_JSON"),
+    ('{"aqi": 10},{"aqi": 11}', "MALFORMED_JSON"),
+    ('{"aqi": 10}] junk', "MALFORMED_JSON"),
+    ('{"aqi": 10},{}] junk', "MALFORMED_JSON"),
+    ('{"aqi": 10,}', "MALFORMED_JSON"),
+    ("[1]", "MALFORMED_JSON"), ("5", "MALFORMED_JSON"), ("", "MALFORMED_JSON"), ("null", "MALFORMED_JSON"),
+    ('{"aqi": NaN}', "OUT_OF_RANGE_AQI"),
+    ("{}", "NULL_AQI_VALUE"), ('{"aqi": "x"}', "NULL_AQI_VALUE"),
+    (' {"aqi": 10, "zone": "a]}"}\n', None),
+])
+def test_one_object_is_well_formed(spark, text, reason):
+    row = spark.createDataFrame([(b"", text.encode(), "air_quality")], "key binary, value binary, topic string")
+    found = validate_messages(row)
+    assert found.first().error_reason == reason
+    record = dlq_messages(dlq_records(found)).first()
+    assert record.key is None and json.loads(record.value)["original_payload"] is not None or text == "null"
+
+
 def test_nan_follows_python_comparisons(spark):
     rows = spark.createDataFrame([(13.0, 77.0, NAN), (NAN, 77.0, 1.0)], "lat double, lon double, speed_kmh double")
     found = [r.error_reason for r in validate.validate(rows, "bus_gps").collect()]
