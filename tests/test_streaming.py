@@ -215,7 +215,8 @@ def test_dead_letters_and_their_report(spark, feeds, tmp_path):
     for record in sent:
         counts[record["error_reason"]] = counts.get(record["error_reason"], 0) + 1
     assert counts == expected
-    assert {v["original_payload"] for v in sent if v["error_reason"] == "MALFORMED_JSON"} == {"{bad json"}
+    assert {v["original_payload"] for v in sent if v["error_reason"] == "MALFORMED_JSON"} == {
+        "{bad json", '{"lat": 13.0}{"lon": 77.0}', '{"lat": 13.0} junk}'}
 
     reports = []
     jobs.start_dlq_report(raw(), lambda df: reports.append(df.collect()), str(tmp_path / "cp2"), NOW).awaitTermination()
