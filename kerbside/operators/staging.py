@@ -24,12 +24,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{home}/staging"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder, for plans that read them more than once.
 
+    The table is a new one, or the one at ``path``, which it replaces.
+
     Unlike a cached or locally checkpointed table it survives the loss of executors, and its file sizes
     tell the planner whether it is small enough to broadcast.
     """
-    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = path or new_path(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -53,6 +53,8 @@ RULES: dict[str, list[Rule]] = {
     ],
 }
 
+REASONS = [MALFORMED_JSON, *(code for rules in RULES.values() for code, _ in rules)]
+
 
 def error_reason(feed: str, field: Callable[[str], Column] = F.col) -> Column:
     """First reason that makes a record of this feed invalid, NULL for a valid one."""

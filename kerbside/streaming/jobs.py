@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kerbside.functions.json_codec import decode_json, encode_json
 from kerbside.operators import advisory, alerts, energy, enrich, validate
+from kerbside.operators.staging import new_path, staged
 from kerbside.schemas import FEEDS
 from kerbside.sources.topics import Topics
 from kerbside.streaming import detectors
@@ -113,13 +115,31 @@ def start_health_advisories(
     return _start(topics.append_stream(encode_json(found, "zone"), topic), checkpoint, "update", _every(trigger))
 
 
-def incidents(air_quality: DataFrame, signals: DataFrame, gps: DataFrame) -> DataFrame:
-    """Alerts of the three detectors as one stream."""
+def incidents(air_quality: DataFrame, signals: DataFrame, gps: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Alerts of the three detectors as one stream; keys silent for ``ttl_ms`` are forgotten (default: never)."""
     late = DETECTOR_LATENESS
     return alerts.all_incidents(
-        detectors.stream_aqi_emergencies(air_quality.withWatermark("event_time", late["air_quality"])),
-        detectors.stream_gridlock(signals.withWatermark("event_time", late["traffic_signals"])),
-        detectors.stream_bus_bunching(gps.withWatermark("event_time", late["bus_gps"])),
+        detectors.stream_aqi_emergencies(air_quality.withWatermark("event_time", late["air_quality"]), ttl_ms=ttl_ms),
+        detectors.stream_gridlock(signals.withWatermark("event_time", late["traffic_signals"]), ttl_ms=ttl_ms),
+        detectors.stream_bus_bunching(gps.withWatermark("event_time", late["bus_gps"]), ttl_ms=ttl_ms),
+    )
+
+
+def start_rolling_gridlock(
+    signals: DataFrame,
+    topics: Topics,
+    topic: str,
+    group: str,
+    checkpoint_root: str,
+    trigger: dict | None = None,
+    ttl_ms: int | None = None,
+) -> StreamingQuery:
+    """An alert per breaching cycle from the third in a row on, keyed by junction, as a reader of its own."""
+    late = signals.withWatermark("event_time", DETECTOR_LATENESS["traffic_signals"])
+    found = detectors.stream_gridlock(late, latch=False, ttl_ms=ttl_ms)
+    return start_reader(
+        found, lambda batch, _: topics.append(encode_json(batch, "junction_id"), topic), group, checkpoint_root,
+        trigger, mode="update",
     )
 
 
@@ -129,6 +149,24 @@ def start_incidents(found: DataFrame, topics: Topics, topic: str, checkpoint: st
     return _start(topics.append_stream(messages, topic), checkpoint, "update", trigger or {"processingTime": "0 seconds"})
 
 
+def refreshed(read: Callable[[], DataFrame], seconds: float) -> Callable[[], DataFrame]:
+    """``read`` as a source of micro-batches that runs at most every so many seconds.
+
+    Between, its rows come from one staged table, whose size tells the planner whether to broadcast it; a table
+    read from a broker has no known size. Only for micro-batches that follow one another: the table is replaced.
+    """
+    held: dict = {}
+
+    def current() -> DataFrame:
+        if not held or time.monotonic() - held["at"] >= seconds:
+            rows = read()
+            path = held.get("path") or new_path(rows.sparkSession)
+            held.update(path=path, rows=staged(rows, path), at=time.monotonic())
+        return held["rows"]
+
+    return current
+
+
 def start_enrichment(
     gps: DataFrame,
     schedule: Callable[[], DataFrame],
@@ -137,7 +175,7 @@ def start_enrichment(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Positions with their schedule to a topic keyed by route; ``schedule`` is read anew for every batch."""
+    """Positions with their schedule to a topic keyed by route; ``schedule`` is asked anew for every batch."""
     columns = [c for c in gps.columns if c not in ("event_time", "event_id")]
 
     def write(batch: DataFrame, _: int) -> None:
@@ -178,8 +216,29 @@ def dlq_counts(raw: DataFrame, window: str | None = REPORT_WINDOW, lateness: str
     if window is None:
         return rejected.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
     late = rejected.withWatermark("timestamp", lateness)
-    return late.groupBy(F.window("timestamp", window)["start"].alias("window_start"), "error_reason").agg(
+    # Grouped by the window as a whole: its start alone would carry no watermark, and state would stay for good.
+    return late.groupBy(F.window("timestamp", window).alias("w"), "error_reason").agg(
         F.count(F.lit(1)).alias("n")
+    ).select(F.col("w.start").alias("window_start"), "error_reason", "n")
+
+
+def dlq_shares(raw: DataFrame, window: str = REPORT_WINDOW, lateness: str = "0 seconds") -> DataFrame:
+    """Count and share of each reason per window of arrival time; a window's reasons always come together.
+
+    The reasons are a fixed list, so a window is one row of counts, and shares need no second aggregate.
+    """
+    _, rejected = validate.split(validate.validate_messages(raw))
+    if raw.isStreaming:
+        rejected = rejected.withWatermark("timestamp", lateness)
+    counts = rejected.groupBy(F.window("timestamp", window).alias("w")).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col("error_reason") == reason).alias(reason) for reason in validate.REASONS],
+    )
+    each = F.explode(F.array(*[
+        F.struct(F.lit(reason).alias("error_reason"), F.col(reason).alias("n")) for reason in validate.REASONS
+    ]))
+    return counts.select(F.col("w.start").alias("window_start"), "total", each.alias("r")).where(F.col("r.n") > 0).select(
+        "window_start", "r.error_reason", "r.n", (100.0 * F.col("r.n") / F.col("total")).alias("pct")
     )
 
 
@@ -209,6 +268,7 @@ def start_reader(
     group: str,
     checkpoint_root: str,
     trigger: dict | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """A reader with its own progress and scheduler pool.
 
@@ -219,7 +279,7 @@ def start_reader(
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", group)
     try:
         return _start(
-            rows.writeStream.foreachBatch(handle), f"{checkpoint_root}/{group}", "append", _every(trigger), group
+            rows.writeStream.foreachBatch(handle), f"{checkpoint_root}/{group}", mode, _every(trigger), group
         )
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)

@@ -17,7 +17,7 @@ from kerbside.plans import views
 from kerbside.schemas import FEEDS
 from kerbside.sources.reference import current_route_schedule, read_energy_archive
 from kerbside.sources.topics import Topics
-from kerbside.streaming import detectors, jobs
+from kerbside.streaming import app, detectors, jobs
 
 SF_DIR = "/root/testdata/sf0.001"
 NOW = {"availableNow": True}
@@ -167,6 +167,33 @@ def test_rolling_gridlock_stream(spark, feeds, tmp_path):
     assert rows_of(found) == rows_of(gridlock(typed(spark, "traffic_signals"), latch=False).collect())
 
 
+def test_jobs_by_name(spark, feeds, tmp_path):
+    def run(job, *more):
+        asked = [job, "--topics", feeds.location, "--format", "parquet", "--out", f"out-{job}", "--checkpoint", str(tmp_path)]
+        app.start(spark, app.arguments([*asked, "--once", "--max-per-batch", "1", *more])).awaitTermination()
+        return values(feeds, f"out-{job}", spark)
+
+    alerts_sent = run("rolling-gridlock")
+    assert len(alerts_sent) == gridlock(typed(spark, "traffic_signals"), latch=False).count() > 0
+    assert run("ward-energy", "--archive", str(tmp_path / "archive"))
+    assert read_energy_archive(spark, str(tmp_path / "archive")).count() > 0
+    with pytest.raises(SystemExit):
+        app.arguments(["ward-energy", "--topics", "x", "--out", "y", "--checkpoint", "z"])
+
+
+def test_schedule_is_held_for_a_while(spark):
+    reads = []
+
+    def read_rows():
+        reads.append(1)
+        return spark.range(len(reads))
+
+    held = jobs.refreshed(read_rows, 3600)
+    assert [held().count(), held().count(), len(reads)] == [1, 1, 1]
+    always = jobs.refreshed(read_rows, 0)
+    assert [always().count(), always().count()] == [2, 3]
+
+
 def test_late_hazard_is_muted_in_arrival_order(spark, tmp_path):
     schema = "sensor_id string, zone string, aqi double, sensor_status string, event_time timestamp, event_id long"
     for i, second in enumerate((100, 50, 230)):
@@ -223,6 +250,14 @@ def test_dead_letters_and_their_report(spark, feeds, tmp_path):
     assert {r.error_reason: r.n for r in reports[-1]} == expected
     assert sum(r.pct for r in reports[-1]) == pytest.approx(100.0)
 
+    shares = collected(jobs.dlq_shares(raw()), mode="append", checkpointLocation=str(tmp_path / "cp4"))
+    whole = validate.dlq_report(
+        validate.split(validate.validate_messages(views.all_messages(spark, SF_DIR).withColumn(
+            "timestamp", F.col("event_time").cast("timestamp"))))[1], jobs.REPORT_WINDOW, "timestamp").collect()
+    expected_shares = {(r.window_start, r.error_reason): (r.n, r.pct) for r in whole}
+    found = {(r.window_start, r.error_reason): (r.n, r.pct) for batch in shares for r in batch}
+    assert found and all(expected_shares[k][0] == n and pct == pytest.approx(expected_shares[k][1]) for k, (n, pct) in found.items())
+
     windows = collected(jobs.dlq_counts(raw()), checkpointLocation=str(tmp_path / "cp3"))
     assert sum(r.n for batch in windows for r in batch) == sum(expected.values())
 
