@@ -177,10 +177,11 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not parts:
         return
     rows, keys, counts, owners = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((keys, rows))
+    order = np.lexsort((owners, keys, rows))
     rows, keys, counts, owners = rows[order], keys[order], counts[order], owners[order]
-    # A row that stands in several slices may be answered by each.
-    new = np.concatenate([[True], (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])])
+    # A row that stands in several slices may be answered by each. Every owner it is told of stays: as the owner of
+    # one slice it is expected there, also where another names a smaller one.
+    new = np.concatenate([[True], (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
     rows, keys, counts, owners = rows[new], keys[new], counts[new], owners[new]
     out = [(r, keys[s].tobytes(), counts[s].tobytes(), owners[s].tobytes()) for r, s in _cuts(rows)]
     for at in range(0, len(out), 2000):
@@ -209,8 +210,9 @@ def shared_keys(
     ``keys_of`` maps the texts of a slice to (index of the text, key), one per occurrence; ``row_id`` must not be
     NULL. With ``width=4`` keys must be ``short_keys``: told apart by block and 32 bits only, some may look shared
     that are not.
-    Counts are of occurrences and stop at ``HOT``; keys are sorted within a row. Without ``owned`` owners are left
-    empty.
+    Counts are of occurrences and stop at ``HOT``; keys are sorted within a row. A key has an entry for each owner
+    that the row was told of, and an owner is always told of itself. Without ``owned`` owners are zeros and keys
+    stand once.
     """
     return (
         rows.select(F.col("row_id").cast("long"), "text")

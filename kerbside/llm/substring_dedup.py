@@ -12,7 +12,7 @@ that owns a repeated window, so a document meets only the shards that hold somet
    maximal spans whose matching statistics reach ``size``.
 
 A passage that very many documents share has an owner in each slice of documents that holds it twice, which
-splits its runs.
+splits its runs. A row that stands in several slices follows every owner they name, itself included.
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ def _window_keys(size: int):
 
 
 def _owned_runs(size: int):
-    """Cuts segments to runs of repeated windows that have one owner."""
+    """Cuts segments to runs of repeated windows that have one owner; a window of several is in a run of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,13 +122,16 @@ def _owned_runs(size: int):
                 words = text.split()
                 hashes = window_hashes(word_hashes(words), size)
                 keys, owners = np.frombuffer(keys, np.uint64), np.frombuffer(owners, np.int64)
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                repeated = np.flatnonzero(keys[at] == hashes)
-                owner = owners[at[repeated]]
-                cuts = np.flatnonzero(np.diff(owner) != 0) + 1
-                for places, who in zip(np.split(repeated, cuts), np.split(owner, cuts)):
-                    for first, last in _runs(places):
-                        out.append((int(who[0]), row, start + first, b" ".join(words[first:last + size])))
+                first, until = np.searchsorted(keys, hashes), np.searchsorted(keys, hashes, "right")
+                places = np.repeat(np.arange(len(hashes)), until - first)
+                nth = np.arange(len(places)) - np.repeat(np.cumsum(until - first) - (until - first), until - first)
+                owner = owners[first[places] + nth]
+                order = np.lexsort((places, owner))
+                places, owner = places[order], owner[order]
+                cuts = np.flatnonzero(np.diff(owner)) + 1
+                for mine, who in zip(np.split(places, cuts), np.split(owner, cuts)):
+                    for a, b in _runs(mine):
+                        out.append((int(who[0]), row, start + a, b" ".join(words[a:b + size])))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
@@ -171,7 +174,7 @@ def repeated_spans(documents: DataFrame, size: int = WINDOW_WORDS, gram: int = A
     """
     blocks = blocks_for(documents)
     rows = _rows(documents)
-    anchored = shared_keys(rows, _anchor_keys(size, gram), blocks).select("row_id", "keys")
+    anchored = shared_keys(rows, _anchor_keys(size, gram), blocks, owned=False).select("row_id", "keys")
     segments = staged(
         rows.join(anchored, "row_id").select("row_id", "text", "keys")
         .mapInArrow(_segments(size, gram), "row_id long, start long, text binary")

@@ -10,12 +10,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 from kerbside.llm import (
-    boosting, byte_bpe, chat_quotes, decontaminate, license_scan, ngram_join, quality, sharding, substring_dedup,
-    token_counts, warc,
+    boosting, byte_bpe, chat_quotes, decontaminate, exchange, license_scan, ngram_join, quality, sharding,
+    substring_dedup, token_counts, warc,
 )
 
 DOCS = "doc_id long, text string, lang string, _row_id string, label string"
@@ -100,6 +101,28 @@ def test_bpe(docs):
         map(tuple, byte_bpe.digests(byte_bpe.decode_documents(encoded, RANKS, PATTERN)).collect()))
 
 
+def test_owner_in_several_slices():
+    size = 5
+    passage = " ".join(f"w{i}" for i in range(8)).encode()
+    # Row 2 owns the passage in the first slice and hears of the smaller row 1 in the second.
+    slices = [[(2, passage), (2, passage), (3, passage)], [(1, passage), (1, passage), (2, passage)]]
+    for asked in (slices, slices[::-1]):
+        batches = [pa.record_batch({"row_id": pa.array([r for r, _ in s]), "text": pa.array([t for _, t in s])}) for s in asked]
+        keys_of = substring_dedup._window_keys(size)
+        answers = exchange._ask(keys_of, 1, 8, 2, True)(iter(batches))
+        answers = exchange._collect(exchange._count(1, 8, True)(answers))
+        told = {r: (k, o) for b in answers for r, k, o in zip(*(b.column(c).to_pylist() for c in ("row_id", "keys", "owners")))}
+        joined = pa.record_batch(
+            [pa.array(x) for x in zip(*((r, 0, passage, *told[r]) for r in (1, 2, 3)))],
+            ["row_id", "start", "text", "keys", "owners"],
+        )
+        runs = [r for b in substring_dedup._owned_runs(size)(iter([joined])) for r in b.to_pylist()]
+        runs.sort(key=lambda r: (r["owner"], r["row_id"] != r["owner"], r["row_id"], r["start"]))
+        ordered = pa.RecordBatch.from_pylist(runs)
+        spans = {tuple(r.values()) for b in substring_dedup._match(size)(iter([ordered])) for r in b.to_pylist()}
+        assert spans == {(1, 0, 8), (2, 0, 8), (3, 0, 8)}
+
+
 def test_licenses(spark):
     texts = ["Used under the MIT License, under the mit license.", "Apache License, Version 2.0", "cc-by-nc cc by nc-sa 4.0", None, "", "no",
              "Licensed under the GNU General Public License version 3 or so", "mit licence"]
