@@ -1,7 +1,7 @@
 """License detection by ordered signature rules, in DataFrame functions only.
 
-A rule is a regular expression over the words of a text, with a label, a keyword, a priority and a weight. Only
-texts with a gate word are looked at, and of these only the rules whose keyword they hold. Detections are intervals
+A rule is a regular expression over the words of a text, with a label, a keyword that it cannot match without, a
+priority and a weight. Only texts with a keyword are looked at, and of these only the rules whose keyword they hold. Detections are intervals
 of words. Where two start alike the longer comes first, then the one with the higher priority; a detection that
 lies inside one before it is suppressed. Base phrases are never suppressed.
 """
@@ -9,6 +9,7 @@ lies inside one before it is suppressed. Base phrases are never suppressed.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -24,15 +25,12 @@ BASE = [
     ("cc by nc", "cc-by-nc"),
 ]
 
-# A text without any of these holds no signature.
-GATE = ["licen", "cc", "gpl", "copyleft", "public domain", "rights reserved", "creative commons", "copyright"]
-
 # Label, keyword, and the license's name as words.
 FAMILIES = [
     ("mit", " mit ", "mit"),
     ("x11", " x11 ", "x11"),
     ("isc", " isc ", "isc"),
-    ("bsd-2-clause", " bsd ", "(?:simplified bsd|freebsd|bsd 2 clause)"),
+    ("bsd-2-clause", "bsd ", "(?:simplified bsd|freebsd|bsd 2 clause)"),
     ("bsd-3-clause", " bsd ", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause)"),
     ("bsd-4-clause", " bsd ", "(?:original bsd|bsd 4 clause)"),
     ("0bsd", " 0bsd ", "0bsd"),
@@ -55,7 +53,8 @@ FAMILIES = [
     ("epl-1", " eclipse ", "eclipse public license(?: version)? 1(?: 0)?"),
     ("epl-2", " eclipse ", "eclipse public license(?: version)? 2(?: 0)?"),
     ("cddl-1", " cddl", "cddl(?: 1(?: [01])?)?"),
-    ("eupl-1.2", " eupl", "(?:european union public licence|eupl)(?: v?1 2)?"),
+    ("eupl-1.2", " european ", "european union public licence(?: v?1 2)?"),
+    ("eupl-1.2", " eupl", "eupl(?: v?1 2)?"),
     ("cc0-1", " cc0 ", "cc0(?: 1 0)?"),
     ("cc-by", " cc ", "cc by(?: [1-4] [05])?"),
     ("cc-by-sa", " cc ", "cc by sa(?: [1-4] [05])?"),
@@ -73,8 +72,10 @@ FAMILIES = [
     ("boost-1", " boost ", "boost software(?: license)?(?: version)?(?: 1 0)?"),
     ("artistic-2", " artistic ", "artistic(?: license)? 2(?: 0)?"),
     ("python-2", " python ", "python software foundation"),
-    ("ofl-1.1", " ofl ", "(?:sil )?(?:open font license|ofl)(?: 1 1)?"),
-    ("odbl-1", " odbl ", "(?:open database license|odbl)(?: 1 0)?"),
+    ("ofl-1.1", " font ", "(?:sil )?open font license(?: 1 1)?"),
+    ("ofl-1.1", " ofl ", "(?:sil )?ofl(?: 1 1)?"),
+    ("odbl-1", " database ", "open database license(?: 1 0)?"),
+    ("odbl-1", " odbl ", "odbl(?: 1 0)?"),
     ("postgresql", " postgresql ", "postgresql"),
     ("ms-pl", " microsoft ", "microsoft public"),
 ]
@@ -96,13 +97,14 @@ STATEMENTS = [
     ("all-rights-reserved", " rights ", 0.7, "all rights reserved"),
     ("copyleft", " copyleft ", 0.5, "copyleft"),
     ("generic-license", " license ", 0.5, "see (?:the )?license(?: file)?(?: for details)?"),
-    ("generic-license", " license ", 0.4, "licensed under (?:the )?(?:following )?(?:terms|license)"),
+    ("generic-license", " licensed ", 0.4, "licensed under (?:the )?(?:following )?(?:terms|license)"),
 ]
 
 
 def rules() -> list[tuple[str, str, str, float, int, bool]]:
     """(label, keyword, expression, weight, priority, base) of all rules, best priority first."""
-    found = [(label, f" {words.split()[0]} ", words, 1.0, True) for words, label in BASE]
+    key_of = {label: key for label, key, _ in reversed(FAMILIES)}
+    found = [(label, key_of[label], words, 1.0, True) for words, label in BASE]
     found += [(label, key, t.format(name), w, False) for w, t in TEMPLATES for label, key, name in FAMILIES]
     found += [(label, key, name, 0.7, False) for label, key, name in FAMILIES if label.startswith("cc")]
     found += [(label, key, words, w, False) for label, key, w, words in STATEMENTS]
@@ -116,6 +118,14 @@ def _rules_frame(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.from_json(listed, kind)).alias("rule")).select("rule.*")
 
 
+def gate() -> str:
+    """Expression that a text matches if and only if its ``spaced_words`` hold the keyword of any rule."""
+    def bounded(key: str) -> str:
+        return ("(?<!{0})" if key[0] == " " else "") + re.escape(key.strip()) + ("(?!{0})" if key[-1] == " " else "")
+
+    return "(?i)" + "|".join(bounded(k) for k in sorted({rule[1] for rule in rules()})).replace("{0}", WORD[:-1])
+
+
 def spaced_words(text: Column) -> Column:
     """The words with A-Z lower-cased, one space before, between and after them."""
     plain = F.regexp_replace(F.translate(text, UPPER, LOWER), F.lit(NO_WORD), F.lit(" "))
@@ -127,11 +137,7 @@ def detections(documents: DataFrame) -> DataFrame:
 
     ``row_id`` is a hash of ``doc_id`` and ``text``; rows that repeat a document are looked at once.
     """
-    lowered = F.lower("text")
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains(lowered, F.lit(word))
-    gated = _rows(documents).where(gate).dropDuplicates(["row_id"]).select("row_id", spaced_words(F.col("text")).alias("words"))
+    gated = _rows(documents).where(F.rlike("text", F.lit(gate()))).dropDuplicates(["row_id"]).select("row_id", spaced_words(F.col("text")).alias("words"))
     keywords = F.array(*[F.lit(k) for k in sorted({rule[1] for rule in rules()})])
     held = gated.withColumn("keyword", F.explode(F.filter(keywords, lambda k: F.contains(F.col("words"), k))))
     # The rules are a fixed table of some hundred rows.

@@ -139,6 +139,36 @@ def test_licenses(spark):
     assert got[6].labels == "gpl-3" and got[7].labels == "mit" and got[2].labels == "cc-by-nc,cc-by-nc-sa"
 
 
+def rule_examples(expression):
+    """Texts that a rule matches: with its optional words and without, by each alternative in turn."""
+    plain = expression.removeprefix("(?<= )").removesuffix("(?= )")
+    plain = plain.replace("licen[sc]e", "licence").replace("[sc]", "s").replace("[1-4] [05]", "4 0")
+    plain = re.sub(r"\[(.)[^]]*\]", r"\1", plain)
+    group = re.compile(r"\(\?:([^()]*)\)(\??)")
+    found, open_ = set(), {plain}
+    while open_:
+        text = open_.pop()
+        m = group.search(text)
+        if m is None:
+            found |= {re.sub(r".\?", "", text), text.replace("?", "")}
+            continue
+        for word in [*m[1].split("|"), *([""] if m[2] else [])]:
+            open_.add(text[:m.start()] + word + text[m.end():])
+    return sorted(found)
+
+
+def test_every_license_rule_passes_its_gate(spark):
+    rng, examples = random.Random(9), []
+    for label, key, expression, *_ in license_scan.rules():
+        for text in rng.sample(own := rule_examples(expression), min(len(own), 12)):
+            assert re.search(expression, f" {text} ") and key in f" {text} ", (expression, key, text)
+            examples.append((len(examples), text.upper().replace(" ", "\n  ")))
+    examples.append((len(examples), "limit, discuss, account and the freebsdé"))
+    df = spark.createDataFrame(examples, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    assert [examples[i] for i in got if not got[i].labels] == examples[-1:]
+
+
 def test_leaks(spark):
     item = "Anna has 12 apples and gives 5 apples to Peter while she walks 3 km along the old river road"
     benchmark = spark.createDataFrame([(1, item), (2, "too short"), (None, item), (3, None)], "item_id long, text string")
