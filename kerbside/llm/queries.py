@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.llm import (
-    byte_bpe, chat_quotes, decontaminate, license_scan, ngram_join, quality, sharding, substring_dedup, token_counts, warc,
+    byte_bpe, chat_quotes, collocations, decontaminate, importance, license_scan, ngram_join, personal_data, quality, sharding,
+    substring_dedup, token_counts, warc,
 )
 from kerbside.operators.staging import shared_folder
 
@@ -72,13 +73,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.span_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_token_counts, op2_ngram_jaccard_join, op3_chat_formatting, op4_license_scan,
             op5_benchmark_decontamination, op6_byte_bpe, op7_warc, op8_sharding,
-            op9_substring_dedup, op10_quality_rules,
+            op9_substring_dedup, op10_quality_rules, op11_collocations, op12_personal_data,
+            op13_importance_resampling,
         )
     }
 
