@@ -38,11 +38,22 @@ _ENDS = re.compile(rb"[.,;:!?\n-\r]+")
 _STOP = b"."
 # White space to Python that is none here can't occur: 0x0A to 0x0D end a piece.
 
-_CODED = "slice long, lang string, words array<binary>, counts array<int>, codes binary, own int"
+_CODED = "slice long, lang string, words array<binary>, counts array<int>, codes binary, n_codes int, own int"
 _FILTER = "part int, n int, quotient_bits int, runs binary, remainders binary, counts binary"
 _GRAM = ["w1", "w2", "w3", "w4"]
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes byte by byte, compressed: words that stand often come early and have small codes."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+
+
 def _coded(slice_bytes: int, row_words: int):
     """Texts by language as lists of distinct words and codes: 0 ends a piece, k is the k-th word.
 
@@ -66,12 +77,12 @@ def _coded(slice_bytes: int, row_words: int):
             counts = np.bincount(local[:own], minlength=len(found))[1:]
             number[0] += 1
             own_id = (TaskContext.get().partitionId() << 32) + number[0]
-            yield own_id, lang, words[found[1:] - 1].tolist(), counts, local.astype("<i4").tobytes(), own
+            yield own_id, lang, words[found[1:] - 1].tolist(), counts, _packed(local), len(local), own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = [0], {}, 0
-        types = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.int32()]
-        names = ["slice", "lang", "words", "counts", "codes", "own"]
+        types = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.int32()]
+        names = ["slice", "lang", "words", "counts", "codes", "n_codes", "own"]
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
@@ -108,8 +119,8 @@ def _numbered(words: DataFrame) -> DataFrame:
 def _filters(width: int, bits: int, held_most: int):
     """The n-grams of a task's slices in counting quotient filters, one for each part."""
 
-    def grams(codes: bytes, own: int, known: pa.StructArray) -> tuple[np.ndarray, ...]:
-        local = np.frombuffer(codes, "<i4")
+    def grams(codes: bytes, n_codes: int, own: int, known: pa.StructArray) -> tuple[np.ndarray, ...]:
+        local = _unpacked(codes, n_codes)
         of_code = np.zeros(int(local.max()) + 1, np.int64)
         of_code[known.field("place").to_numpy() + 1] = known.field("id").to_numpy()
         words = of_code[local]
@@ -140,7 +151,7 @@ def _filters(width: int, bits: int, held_most: int):
         held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                found = grams(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].values)
+                found = grams(*(batch.column(c)[i].as_py() for c in range(3)), batch.column(3)[i].values)
                 held.append(found)
                 size += len(found[0])
                 if size >= held_most:
@@ -194,7 +205,7 @@ def frequent_ngrams(
     bits = qf.part_bits(blocks, width)
     known = listed.select("slice", "lang", "place", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("slice").agg(
         F.collect_list(F.struct("place", "id")).alias("known"))  # a slice's own words: bounded by its size
-    filters = coded.select("slice", "codes", "own").join(known, "slice").select("codes", "own", "known").mapInArrow(
+    filters = coded.select("slice", "codes", "n_codes", "own").join(known, "slice").select("codes", "n_codes", "own", "known").mapInArrow(
         _filters(width, bits, held), _FILTER)
     grams = filters.repartitionById(1 << bits, F.col("part")).mapInArrow(
         _merged(width, bits, least, held), ", ".join(f"{c} long" for c in [*_GRAM, "f"]))

@@ -1,8 +1,9 @@
 """License detection by ordered signature rules, in DataFrame functions only.
 
 A rule is a regular expression over the words of a text, with a label, a keyword that it cannot match without, a
-priority and a weight. Only texts with a keyword are looked at, and of these only the rules whose keyword they hold. Detections are intervals
-of words. Where two start alike the longer comes first, then the one with the higher priority; a detection that
+priority and a weight. Only texts with a keyword are looked at, and of these only the rules whose keyword they hold.
+Rules are names of licenses in the turns of phrase that prose uses, and sentences of the licenses. Detections are
+intervals of words. Where two start alike the longer comes first, then the one with the higher priority; a detection that
 lies inside one before it is suppressed. Base phrases are never suppressed.
 """
 
@@ -90,7 +91,7 @@ TEMPLATES = [
     (0.8, "{} licen[sc]e"),
     (0.8, "licen[sc]e {}"),
 ]
-# Signatures that name no license: label, keyword, weight, words.
+# Signatures other than names in prose: label, keyword, weight, words.
 STATEMENTS = [
     ("public-domain", " domain ", 0.9, "(?:released|dedicated|placed) (?:in|in to|into|to) the public domain"),
     ("public-domain", " domain ", 0.6, "public domain"),
@@ -98,6 +99,28 @@ STATEMENTS = [
     ("copyleft", " copyleft ", 0.5, "copyleft"),
     ("generic-license", " license ", 0.5, "see (?:the )?license(?: file)?(?: for details)?"),
     ("generic-license", " licensed ", 0.4, "licensed under (?:the )?(?:following )?(?:terms|license)"),
+    # Sentences of the licenses themselves.
+    ("mit", " hereby ", 0.9, "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", " noninfringement ", 0.6, "warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("x11", " consortium ", 0.9, "except as contained in this notice the name of the x consortium shall not be used"),
+    ("isc", " hereby ", 0.9, "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd-2-clause", " redistributions ", 0.7, "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-2-clause", " redistribution ", 0.7, "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", " neither ", 0.9, "neither the names? of .{1,80}? nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", " advertising ", 0.9, "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache-2", " apache ", 0.9, "www apache org licenses license 2 0"),
+    ("apache-2", " governing ", 0.6, "see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-2", " redistribute ", 0.9, "you can redistribute it and or modify it under the terms of the gnu general public license(?: as published by the free software foundation)? either version 2"),
+    ("gpl-3", " redistribute ", 0.9, "you can redistribute it and or modify it under the terms of the gnu general public license(?: as published by the free software foundation)? either version 3"),
+    ("lgpl-2.1", " redistribute ", 0.9, "you can redistribute it and or modify it under the terms of the gnu lesser general public license(?: as published by the free software foundation)? either version 2"),
+    ("agpl-3", " redistribute ", 0.9, "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("copyleft", " merchantability ", 0.4, "without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("mpl-2", " mozilla ", 1.0, "this source code form is subject to the terms of the mozilla public license"),
+    ("zlib", " misrepresented ", 0.9, "the origin of this software must not be misrepresented"),
+    ("unlicense", " unencumbered ", 1.0, "this is free and unencumbered software released into the public domain"),
+    ("cc0-1", " waived ", 0.8, "has waived all copyright and related or neighboring rights"),
+    ("boost-1", " boost ", 0.9, "distributed under the boost software license version 1 0"),
+    ("no-warranty", " warranty ", 0.3, "provided as is without warranty of any kind"),
 ]
 
 
@@ -118,12 +141,22 @@ def _rules_frame(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.from_json(listed, kind)).alias("rule")).select("rule.*")
 
 
-def gate() -> str:
-    """Expression that a text matches if and only if its ``spaced_words`` hold the keyword of any rule."""
-    def bounded(key: str) -> str:
-        return ("(?<!{0})" if key[0] == " " else "") + re.escape(key.strip()) + ("(?!{0})" if key[-1] == " " else "")
+def _keywords() -> list[str]:
+    return sorted({rule[1] for rule in rules()})
 
-    return "(?i)" + "|".join(bounded(k) for k in sorted({rule[1] for rule in rules()})).replace("{0}", WORD[:-1])
+
+def gate(text: Column) -> Column:
+    """True of every text whose ``spaced_words`` hold the keyword of any rule, and of some others.
+
+    Keywords are sought without their word ends, which is a plain search for bytes; a keyword that holds another one
+    needs no search of its own.
+    """
+    bare = {key.strip() for key in _keywords()}
+    least = sorted(key for key in bare if not any(other != key and other in key for other in bare))
+    found = F.contains(text, F.lit(least[0]))
+    for key in least[1:]:
+        found = found | F.contains(text, F.lit(key))
+    return found
 
 
 def spaced_words(text: Column) -> Column:
@@ -137,9 +170,16 @@ def detections(documents: DataFrame) -> DataFrame:
 
     ``row_id`` is a hash of ``doc_id`` and ``text``; rows that repeat a document are looked at once.
     """
-    gated = _rows(documents).where(F.rlike("text", F.lit(gate()))).dropDuplicates(["row_id"]).select("row_id", spaced_words(F.col("text")).alias("words"))
-    keywords = F.array(*[F.lit(k) for k in sorted({rule[1] for rule in rules()})])
-    held = gated.withColumn("keyword", F.explode(F.filter(keywords, lambda k: F.contains(F.col("words"), k))))
+    def once(value: Column) -> Column:
+        """Generated, not projected: computed once a row however often it is used."""
+        return F.explode(F.array(value))
+
+    lowered = _rows(documents).select("row_id", "text", once(F.lower("text")).alias("lowered")).where(gate(F.col("lowered")))
+    spaced = lowered.select("row_id", once(spaced_words(F.col("text"))).alias("words"))
+    keywords = F.array(*[F.lit(k) for k in _keywords()])
+    holds = F.filter(keywords, lambda k: F.contains(F.col("words"), k))
+    gated = spaced.select("row_id", "words", holds.alias("keywords")).where(F.size("keywords") > 0)
+    held = gated.dropDuplicates(["row_id"]).withColumn("keyword", F.explode("keywords")).drop("keywords")
     # The rules are a fixed table of some hundred rows.
     paired = held.join(F.broadcast(_rules_frame(documents.sparkSession)), "keyword").where(
         F.expr("words rlike expression")

@@ -6,11 +6,12 @@ The product's entries are overlaps of n-gram sets. Only those that can reach the
   other document has, so documents with too few of these drop out: they link with nothing.
 * Of the others, only the rarest columns count at first: two documents that link share one of the few rarest
   n-grams of each, as many as the threshold lets a partner miss.
-* Equal sets are one row of the product. Rows found linked with a hub of their column are one component, and the
-  product is taken between components only.
-* It is taken in tiles of two blocks of rows. Overlaps accumulate over the rarest columns; with what the other
-  columns can still add by the two sizes they discard pairs below the bound, and the rest are computed over all
-  columns. A tile answers with the links that join its components, so no group of copies yields all its pairs.
+* Equal sets are one row of the product. Rows found linked with the hub of a column are one component, and from
+  then on only rows of different components meet.
+* These meet in tiles of two blocks of rows, bounded by rows and by n-grams. Overlaps accumulate over the rarest
+  columns; with what the other columns can still add by the two sizes they discard pairs below the bound, and the
+  rest are computed over all columns. A tile answers with the links that join its components, so no group of copies
+  yields all its pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.llm.components import components
 from kerbside.llm.exchange import HOT, blocks_for, shared_keys, short_keys
@@ -29,11 +30,8 @@ from kerbside.operators.staging import staged
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Rounds in which rows meet the hubs of their columns only, before rows of different components meet; hubs of a
-#: column in each round; and columns of a row that count there. They decide about speed, not about results.
-HUB_ROUNDS, HUBS, HUB_COLUMNS = 1, 8, 8
-#: Rows in a block of the product, and columns that are multiplied at once.
-BLOCK_ROWS, TILE_COLUMNS = 256, 2048
+#: Rows and n-grams in a block of the product, and columns that are multiplied at once.
+BLOCK_ROWS, BLOCK_GRAMS, TILE_COLUMNS = 256, 1 << 19, 2048
 
 
 def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -57,18 +55,18 @@ def least_share(n, percent: int = PERCENT):
 
 
 def _sets(size: int, blocks: int):
-    """Per row: size of its set, the same when told apart by short keys, and a digest of the set."""
+    """Per row: size of its set, the same when told apart by short keys, and a digest of the set; hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             sets = [shingle_set(t, size) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([len(np.unique(short_keys(s, blocks))) for s in sets], pa.int64()),
                     pa.array([digest(s.tobytes()) for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n", "n_keys", "digest"],
+                ["doc_id", "text_hash", "n", "n_keys", "digest"],
             )
 
     return run
@@ -109,28 +107,17 @@ def _rarest(percent: int):
     return run
 
 
-def _packed_sets(size: int):
+def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
-            sets = [shingle_set(t, size).tobytes() for t in texts]
-            keep = pa.array([digest(s) == d for s, d in zip(sets, batch.column(1).to_pylist())])
-            found = pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary())], ["id", "grams"])
-            yield found.filter(keep)
+            sets = [shingle_set(t, size) for t in texts]
+            keep = pa.array([digest(s.tobytes()) == d for s, d in zip(sets, batch.column(1).to_pylist())])
+            listed = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), listed], ["id", "full"]).filter(keep)
 
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            found.append(len(np.intersect1d(x, y, assume_unique=True)))
-        overlap = pa.array(found, pa.int64())
-        sizes = [pa.array([len(s) // 8 for s in batch.column(c).to_pylist()], pa.int64()) for c in (2, 3)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), overlap, *sizes], ["a", "b", "overlap", "n_a", "n_b"])
-
-
 def linked(overlap: Column, a: Column, b: Column, percent: int = PERCENT) -> Column:
     return 100 * overlap >= percent * (a + b - overlap)
 
@@ -140,12 +127,6 @@ def needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / (100 + percent) - 1e-9)
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """By sizes alone: an overlap can't exceed either row's n-grams that stand elsewhere too."""
-    n_a, n_b, most_a, most_b = (F.col(c) for c in (f"{a}n", f"{b}n", f"{a}most", f"{b}most"))
-    return F.least(most_a, most_b) >= needed(n_a, n_b, percent)
-
-
 class _Product:
     """The incidence of the rows that are left, and the links found in it."""
 
@@ -154,79 +135,77 @@ class _Product:
         self.links = None
         self.labels = None
 
-    def _labelled(self, columns: Column) -> DataFrame:
-        """A row for each n-gram in ``columns``: (gram, id, n, most, label)."""
+    def _entries(self, *more: str) -> DataFrame:
+        """A row for each n-gram among the rarest of a row: (gram, id, n, most, ...)."""
         rows = self._rows.withColumn("most", F.col("shared") + F.col("slack"))
-        if self.labels is None:
-            rows = rows.withColumn("label", F.col("id"))
-        else:
-            rows = rows.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        return rows.select(F.explode(columns).alias("gram"), "id", "n", "most", "label")
-
-    def _add(self, pairs: DataFrame) -> None:
-        """Compute the pairs' overlaps over all columns and keep those that link."""
-        a, b = (self._sets.select(F.col("id").alias(i), F.col("grams").alias(f"grams_{i}")) for i in "ab")
-        both = pairs.join(a, "a").join(b, "b").select("a", "b", "grams_a", "grams_b")
-        overlaps = both.mapInArrow(_overlaps, "a binary, b binary, overlap long, n_a long, n_b long")
-        self._keep(staged(
-            overlaps.where(linked(F.col("overlap"), F.col("n_a"), F.col("n_b"), self._percent)).select("a", "b")
-        ))
+        return rows.select(F.explode("grams").alias("gram"), "id", "n", "most", *more)
 
     def _keep(self, found: DataFrame) -> None:
         self.links = found if self.links is None else self.links.unionByName(found)
         self.labels = components(self.links)
 
-    def meet_hubs(self, turn: int) -> None:
-        """Rows meet the hubs of their most common columns.
+    def meet_hubs(self) -> None:
+        """Rows meet the hubs of their columns: of a column's rows the one with the fewest n-grams of its own.
 
-        Half of the hubs are rows with few n-grams of their own, which in a group of edited copies are the nearest
-        to all others; the other half come first in orders that change by turn.
+        That is one order for all columns, so the rows of a group of edited copies, which share most columns, meet
+        the same few hubs, those nearest to all others, whatever the size of the group.
         """
-        rows = self._labelled(F.slice(F.reverse("grams"), 1, HUB_COLUMNS))
-        firsts = [
-            F.min(F.struct(
-                (F.col("n") - F.col("most") if i % 2 else F.lit(0)).alias("own"),
-                F.xxhash64("id", F.lit(turn * HUBS + i)).alias("place"), "id", "n", "most", "label",
-            ))
-            for i in range(HUBS)
-        ]
-        fields = ("id", "n", "most", "label")
-        hubs = (
-            rows.groupBy("gram").agg(F.array(*firsts).alias("hubs"), F.min("label").alias("low"), F.max("label").alias("high"))
-            .where(F.col("low") != F.col("high"))
-            .select("gram", F.transform("hubs", lambda h: F.struct(*[h[f].alias(f) for f in fields])).alias("hubs"))
-        )
-        pairs = rows.join(hubs, "gram").select(*fields, F.explode(F.array_distinct("hubs")).alias("hub")).where(
-            (F.col("label") != F.col("hub.label")) & _may_link("", "hub.", self._percent)
-        )
-        self._add(pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+        rows = self._entries()
+        hub = F.min(F.struct((F.col("n") - F.col("most")).alias("own"), "id", "n", "most")).alias("hub")
+        hubs = rows.groupBy("gram").agg(hub)
+        n, m = F.col("n"), F.col("hub.n")
+        # By sizes alone: an overlap can't exceed either row's n-grams that stand elsewhere too.
+        may = F.least("most", "hub.most") >= needed(n, m, self._percent)
+        pairs = rows.join(hubs, "gram").where((F.col("id") != F.col("hub.id")) & may).select(
+            F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+        a, b = (self._sets.select(F.col("id").alias(i), F.col("full").alias(f"full_{i}")) for i in "ab")
+        both = pairs.join(a, "a").join(b, "b")
+        overlap = F.size(F.array_intersect("full_a", "full_b"))
+        self._keep(staged(both.where(linked(overlap, F.size("full_a"), F.size("full_b"), self._percent)).select("a", "b")))
 
     def meet_all(self) -> None:
-        """All rows of different components that share a column meet in tiles of the product.
+        """Rows of different components that share a column meet in tiles of the product.
 
-        Rows that share columns, directly or over other rows, are a cluster. A cluster's rows are dealt into blocks
-        of about ``BLOCK_ROWS`` and every two blocks are a tile; a tile finds the links that join components.
+        Rows of columns with several components are put in order of their component and cut into blocks, so most
+        blocks hold one component only. A tile is two blocks that share a column, not both of the column's first
+        component alone. It finds the links that join components and returns these.
         """
-        rows = self._labelled(F.col("grams"))
-        of_gram = (
-            rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("b"))
-            .where(F.col("low") != F.col("high")).select("gram", "b")
-        )
-        rows = staged(rows.join(of_gram, "gram").select(F.col("id").alias("a"), "b", "label").distinct())
-        clusters = components(rows).withColumnRenamed("label", "cluster")
-        members = rows.select(F.col("a").alias("id"), "label").distinct().join(clusters, "id")
-        counts = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+        labelled = self._rows.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        entries = labelled.select(F.explode("grams").alias("gram"), "id", "label")
+        main = entries.groupBy("gram").agg(F.min("label").alias("main"), F.max("label").alias("last")).where(
+            F.col("main") != F.col("last")).select("gram", "main")
+        mixed = entries.join(main, "gram")
+        meeting = labelled.join(mixed.select("id").distinct(), "id", "left_semi")
+        blocks = staged(_blocks(staged(meeting.select("id", "label", "n"))))
+        held = mixed.join(blocks.select("id", "block"), "id").groupBy("gram", "block").agg(
+            F.bool_and(F.col("label") == F.col("main")).alias("only_main"))
+        others = held.where(~F.col("only_main")).select("gram", F.col("block").alias("other"))
+        tiles = held.join(others, "gram").select(
+            F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).distinct()
+        sides = tiles.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
         dealt = (
-            members.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .join(self._rows, "id").join(self._sets.withColumnRenamed("grams", "full"), "id")
+            sides.join(blocks.select("id", "label", "block"), "block").join(self._rows, "id").join(self._sets, "id")
+            .withColumn("other", F.when(F.col("block") == F.col("low"), F.col("high")).otherwise(F.col("low")))
         )
-        tiles = dealt.groupBy("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         percent = self._percent
-        found = tiles.applyInArrow(lambda tile: _tile_links(tile, percent), "a binary, b binary")
+        found = dealt.groupBy("low", "high").applyInArrow(lambda tile: _tile_links(tile, percent), "a binary, b binary")
         self._keep(staged(found))
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (id, label, n) with ``block``: runs in order of label, of ``BLOCK_ROWS`` rows or ``BLOCK_GRAMS`` n-grams.
+
+    Numbers follow from running totals within evenly cut ranges, so no task sees all rows of a label.
+    """
+    order = ("label", "id")
+    parts = min(blocks_for(rows), rows.count() // (16 * BLOCK_ROWS) + 1)
+    ranges = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = staged(ranges.withColumn("place", F.monotonically_increasing_id()))
+    within = Window.partitionBy(F.shiftright("place", 33)).orderBy("place")
+    at = F.row_number().over(within) / BLOCK_ROWS + F.sum("n").over(within) / BLOCK_GRAMS
+    return placed.withColumn("block", F.shiftright("place", 33) * (1 << 33) + F.floor(at)).drop("place")
+
+
 def _tile_links(tile: pa.Table, percent: int) -> pa.Table:
     """Links of a tile that join components: overlaps of the rarest columns first, then of all where they may do."""
     ids, labels = tile.column("id").to_pylist(), tile.column("label").to_pylist()
@@ -269,7 +248,7 @@ def _tile_links(tile: pa.Table, percent: int) -> pa.Table:
             continue
         for r in (i, j):
             if r not in sets:
-                sets[r] = np.frombuffer(tile.column("full")[r].as_py(), np.uint64)
+                sets[r] = tile.column("full")[r].values.to_numpy()
         overlap = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
         if 100 * overlap >= percent * (len(sets[i]) + len(sets[j]) - overlap):
             root[x] = y
@@ -277,17 +256,15 @@ def _tile_links(tile: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
 
-def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents``.
+def _classes(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, n, n_keys, digest), and classes of equal sets (digest, doc_id, label).
 
-    Two documents link when ``100 * intersection >= percent * union`` of their shingle sets; ``component_id`` is the
-    smallest ``doc_id`` that links reach. A document without words has no shingles and links with nothing. Each row
-    is judged by its own text, also where rows repeat a ``doc_id``; a row without ``doc_id`` links with nothing
-    and has no component. Other columns are not read.
+    A class's ``doc_id`` is the smallest of its rows, and classes that links join share a label.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = blocks_for(documents)
-    sets = staged(rows.mapInArrow(_sets(size, blocks), "doc_id long, n long, n_keys long, digest binary"))
+    sets = staged(rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        _sets(size, blocks), "doc_id long, text_hash long, n long, n_keys long, digest binary"))
     known = sets.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     classes = known.groupBy("digest", "n", "n_keys").agg(F.min("doc_id").alias("doc_id"))
     own = known.groupBy("doc_id").agg((F.min("digest") == F.max("digest")).alias("own"))
@@ -303,17 +280,28 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
         "id binary, n long, slack long, rest long, shared long, last_count int, last_key long, grams array<long>",
     ))
     wanted = left.select(F.col("id").alias("digest")).join(classes, "digest").select("doc_id", "digest")
-    grams = staged(
+    full = staged(
         rows.join(wanted, "doc_id").select("text", "digest")
-        .mapInArrow(_packed_sets(size), "id binary, grams binary").dropDuplicates(["id"])
+        .mapInArrow(_full_sets(size), "id binary, full array<long>").dropDuplicates(["id"])
     )
-    product = _Product(left, grams, percent)
-    for turn in range(HUB_ROUNDS):
-        product.meet_hubs(turn)
+    product = _Product(left, full, percent)
+    product.meet_hubs()
     product.meet_all()
     reached = product.labels
     labelled = classes.join(reached, classes["digest"] == reached["id"], "left").select(
         "digest", "doc_id", F.coalesce("label", "digest").alias("label"))
+    return sets, labelled
+
+
+def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``documents``.
+
+    Two documents link when ``100 * intersection >= percent * union`` of their shingle sets; ``component_id`` is the
+    smallest ``doc_id`` that links reach. A document without words has no shingles and links with nothing. Each row
+    is judged by its own text, also where rows repeat a ``doc_id``; a row without ``doc_id`` links with nothing
+    and has no component. Other columns are not read.
+    """
+    sets, labelled = _classes(documents, size, percent)
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component"))
     of_class = labelled.join(smallest, "label").select("digest", "component")
     return sets.join(of_class, "digest", "left").select(
@@ -325,11 +313,26 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
 def keep_one_of_each(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of ``documents`` for each group of near duplicates: that of the smallest ``doc_id``.
 
-    Documents without words and rows without ``doc_id`` stay. Of rows that repeat the smallest ``doc_id`` one stays.
+    Each row is judged by its own text, so rows that repeat a ``doc_id`` with texts that don't link all stay. Of a
+    group's rows with the smallest ``doc_id`` one stays. Documents without words and rows without ``doc_id`` stay.
     """
-    groups = near_duplicates(documents, size, percent).where(
-        F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))
-    ).select(F.col("doc_id").alias("_dropped")).distinct()
-    left = documents.join(groups, documents["doc_id"].cast("long") == groups["_dropped"], "left_anti")
-    numbered = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return numbered.unionByName(left.where(F.col("doc_id").isNull()))
+    sets, labelled = _classes(documents, size, percent)
+    rows = sets.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull()).groupBy("doc_id", "text_hash", "digest").agg(
+        F.count(F.lit(1)).alias("copies"))
+    first = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "digest"))["digest"].alias("digest"))
+    named = first.join(labelled.select("digest", "doc_id"), "digest").join(rows, ["doc_id", "digest"]).groupBy("doc_id", "digest").agg(
+        F.min("text_hash").alias("text_hash"))
+    dropped = rows.join(named, ["doc_id", "digest", "text_hash"], "left_anti").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    repeated = rows.where("copies > 1").join(named, ["doc_id", "digest", "text_hash"]).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+
+    def same(keys: DataFrame) -> Column:
+        text = F.xxhash64(documents["text"].cast("string"))
+        return (documents["doc_id"].cast("long") == keys["_id"]) & (text == keys["_hash"])
+
+    dropped, repeated = staged(dropped), staged(repeated)
+    both = dropped.unionByName(repeated)
+    once = documents.join(both, same(both), "left_anti")
+    several = documents.join(repeated, same(repeated), "left_semi")
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
