@@ -2,8 +2,8 @@
 
 Lines that start with ``>`` are quotes, as deep as they have such marks. Quoted lines, and blocks of quoted lines of
 one depth, are hashed in normal form and joined to the first message of the conversation that says them itself.
-The message that most of a text's quoted characters lead to is the one it replies to. Messages come out without
-quotes, with their place in the conversation: the thread (the first message that replies lead back to) and turn.
+A message replies to the one that its least deep known quotes come from, by most of their characters; deeper quotes
+belong to what that one replied to. Messages come out without quotes, with their place in the conversation: the thread (the first message that replies lead back to) and turn.
 Replies point to earlier turns, so within a thread the order of turns is a reply order.
 """
 
@@ -39,7 +39,8 @@ def _keyed(messages: DataFrame) -> DataFrame:
 
 def _quoted(messages: DataFrame) -> DataFrame:
     """Quoted passages: (conv_id, turn, level, passage, size), lines and blocks of lines of one depth."""
-    lines = messages.where(F.col("text").rlike(r"(?m)^[ \t]*>")).select(
+    quoting = messages.where(F.col("text").rlike(r"(?m)^[ \t]*>")).select("conv_id", "turn", "text").distinct()
+    lines = quoting.select(
         "conv_id", "turn", F.xxhash64("conv_id", "turn", "text").alias("row_id"),
         F.posexplode(F.split("text", r"\r?\n")).alias("line", "body"),
     ).withColumns({
@@ -78,8 +79,8 @@ def reply_links(messages: DataFrame) -> DataFrame:
     quoting = quoted.select("conv_id").distinct()
     said = _said(known.join(quoting, "conv_id", "left_semi"))
     led = quoted.join(said, ["conv_id", "passage"]).where(F.col("original") < F.col("turn"))
-    votes = led.groupBy("conv_id", "turn", "original").agg(F.sum("size").alias("size"))
-    best = F.max(F.struct("size", "original"))["original"]
+    votes = led.groupBy("conv_id", "turn", "level", "original").agg(F.sum("size").alias("size"))
+    best = F.max(F.struct((-F.col("level")).alias("near"), "size", "original"))["original"]
     return votes.groupBy("conv_id", "turn").agg(best.alias("reply_to"))
 
 

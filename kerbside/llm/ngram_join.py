@@ -166,17 +166,20 @@ class _Product:
     def meet_all(self) -> None:
         """Rows of different components that share a column meet in tiles of the product.
 
-        Rows of columns with several components are put in order of their component and cut into blocks, so most
-        blocks hold one component only. A tile is two blocks that share a column, not both of the column's first
-        component alone. It finds the links that join components and returns these.
+        Rows that share columns of several components, directly or over other rows, are a cluster. Rows are put in
+        order of cluster and component and cut into blocks, so most rows share columns with rows of their own block
+        only. A tile is two blocks that share a column, not both of the column's first component alone. It finds
+        the links that join components and returns these.
         """
         labelled = self._rows.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         entries = labelled.select(F.explode("grams").alias("gram"), "id", "label")
-        main = entries.groupBy("gram").agg(F.min("label").alias("main"), F.max("label").alias("last")).where(
-            F.col("main") != F.col("last")).select("gram", "main")
-        mixed = entries.join(main, "gram")
-        meeting = labelled.join(mixed.select("id").distinct(), "id", "left_semi")
-        blocks = staged(_blocks(staged(meeting.select("id", "label", "n"))))
+        main = entries.groupBy("gram").agg(
+            F.min("label").alias("main"), F.max("label").alias("last"), F.min("id").alias("first")
+        ).where(F.col("main") != F.col("last")).select("gram", "main", "first")
+        mixed = staged(entries.join(main, "gram"))
+        clusters = components(mixed.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
+        meeting = labelled.select("id", "label", "n").join(clusters.withColumnRenamed("label", "cluster"), "id")
+        blocks = staged(_blocks(staged(meeting)))
         held = mixed.join(blocks.select("id", "block"), "id").groupBy("gram", "block").agg(
             F.bool_and(F.col("label") == F.col("main")).alias("only_main"))
         others = held.where(~F.col("only_main")).select("gram", F.col("block").alias("other"))
@@ -193,11 +196,12 @@ class _Product:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (id, label, n) with ``block``: runs in order of label, of ``BLOCK_ROWS`` rows or ``BLOCK_GRAMS`` n-grams.
+    """Rows (id, label, cluster, n) with ``block``: runs in order of cluster and label, of ``BLOCK_ROWS`` rows or
+    ``BLOCK_GRAMS`` n-grams.
 
-    Numbers follow from running totals within evenly cut ranges, so no task sees all rows of a label.
+    Numbers follow from running totals within evenly cut ranges, so no task sees all rows of a cluster.
     """
-    order = ("label", "id")
+    order = ("cluster", "label", "id")
     parts = min(blocks_for(rows), rows.count() // (16 * BLOCK_ROWS) + 1)
     ranges = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     placed = staged(ranges.withColumn("place", F.monotonically_increasing_id()))

@@ -97,16 +97,17 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
 def fit_quality(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> boosting.Forest:
     """Trees that tell good from bad, on at most ``max_labelled`` labels and of these on what the fixed rules leave.
 
-    Labels without a quality or document are passed over; a document labelled or present twice counts twice. With
-    no labels at all, every document is as good as any other. The labels that count are broadcast: their number is
-    bounded.
+    Labels without a quality or document are passed over; a document with two labels counts with each, and of rows
+    that repeat a document the text with the smallest hash counts. With no labels at all, every document is as good
+    as any other. The labels that count are broadcast: their number is bounded, and so is what reaches the driver.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
     sample = known.dropna().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_labelled)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    labelled = texts.join(F.broadcast(sample), "doc_id").withColumnRenamed("doc_id", "_id").select(
-        F.col("label").cast("long").alias("doc_id"), "text")
-    found = document_statistics(labelled).limit(2 * max_labelled).toPandas()
+    labelled = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = document_statistics(labelled.select(F.col("label").cast("long").alias("doc_id"), "text")).toPandas()
+    found = found.sort_values(found.columns.tolist())
     counts = found[COUNTS].to_numpy(np.int64)
     left = ~base_failed(counts) if len(counts) else np.zeros(0, bool)
     y = found["doc_id"].to_numpy(float)[left]

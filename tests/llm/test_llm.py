@@ -177,8 +177,28 @@ def test_leaks(spark):
         (1, f"before {item} after", "", "", ""), (2, other, "", "", ""), (3, "nothing of that kind at all", "", "", ""),
         (4, None, "", "", ""), (None, item, "", "", ""), (1, f"before {item} after", "", "", ""),
     ], DOCS)
-    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()} == {(1, 1), (2, 1)}
-    assert sorted(str(r.doc_id) for r in decontaminate.drop_leaks(docs, benchmark).collect()) == ["3", "4", "None"]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()} == {(1, 1), (2, 1), (None, 1)}
+    assert sorted(str(r.doc_id) for r in decontaminate.drop_leaks(docs, benchmark).collect()) == ["3", "4"]
+
+
+def test_leaks_by_place_short_items_and_runs(spark):
+    item = "Anna has 12 apples and gives 5 apples to Peter while she walks 3 km along the old river road"
+    other = item.replace("Anna", "Clara").replace("Peter", "Jonas").replace("12", "40").replace("5", "7")
+    third = item.replace("Anna", "Mia").replace("Peter", "Tom").replace("12", "60").replace("5", "9")
+    long_ = " ".join(f"{'abcdefghij'[i % 10]}word{'klmnopqrst'[i // 10]}" for i in range(60))
+    benchmark = spark.createDataFrame(
+        [(1, item), (2, "What is the capital of France?"), (3, "12 + 7 = 19 km, 3 + 4 = 7 km, 8 - 1 = 7 kg, 5"), (4, long_), (5, "a b c")],
+        "item_id long, text string")
+    mixed = item.replace("5 apples", "8 pears").replace("12", "13").replace("Anna", "Bea").replace("walks 3 km", "runs 4 km")
+    docs = spark.createDataFrame([
+        (1, f"{item}. Some words between them here. {other}", "", "", ""), (2, f"{other}. And then {third}", "", "", ""),
+        (3, "He asked: what is the capital of France? Nobody knew.", "", "", ""), (4, "so 12 + 7 = 19 km, 3 + 4 = 7 km, 8 - 1 = 7 kg, 5 it is", "", "", ""),
+        (5, "x " + " ".join(long_.split()[20:35]) + " y", "", "", ""), (6, "x " + " ".join(long_.split()[20:32]) + " y", "", "", ""),
+        (7, "a b c", "", "", ""), (8, "the capital of France is what it is", "", "", ""), (9, mixed, "", "", ""), (10, "nothing here", "", "", ""), (10, item, "", "", ""),
+    ], DOCS)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert found == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4), (10, 1)}
+    assert sorted((r.doc_id, r.text) for r in decontaminate.drop_leaks(docs, benchmark).collect() if r.doc_id > 8) == [(9, mixed), (10, "nothing here")]
 
 
 def test_quotes(spark):
@@ -188,10 +208,40 @@ def test_quotes(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {(r.conv_id, r.turn): r for r in chat_quotes.conversations(df).collect()}
     assert len(got) == len(rows)
-    assert [(got[1, t].reply_to, got[1, t].thread) for t in range(4)] == [(None, 0), (None, 1), (0, 0), (0, 0)]
+    assert [(got[1, t].reply_to, got[1, t].thread) for t in range(4)] == [(None, 0), (None, 1), (0, 0), (2, 0)]
+    nested = spark.createDataFrame(
+        [(1, 0, "u", "First line is quite long here."), (1, 1, "u", "x"), (1, 2, "u", "I agree."),
+         (1, 3, "u", ">> First line is quite long here.\n> I agree.\nWell")] * 2, "conv_id long, turn long, role string, text string")
+    assert Counter((r.turn, r.reply_to, r.thread) for r in chat_quotes.conversations(nested).collect()) == {
+        (0, None, 0): 2, (1, None, 1): 2, (2, None, 2): 2, (3, 2, 2): 2}
     assert got[1, 2].content == "I agree." and got[1, 3].content == "Fine" and got[2, 0].role == "unknown"
 
 
+def test_one_row_of_each_group(spark):
+    a, b = "a b c d e f g h", "q r s t u v w x y"
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, ""), (3, b + " q"), (None, a), (4, None), (5, "z Z"), (5, "Z z")]
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) - Counter([(5, "z Z"), (5, "Z z")]) == Counter([(1, a), (2, b), (3, ""), (None, a), (4, None)])
+    assert sum(r.doc_id == 5 for r in kept) == 1
+
+
+def test_tiles_of_small_blocks(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "TILE_COLUMNS", 16)
+    monkeypatch.setattr(ngram_join._Product, "meet_hubs", lambda self: self._keep(self._rows.limit(0).selectExpr("id AS a", "id AS b")))
+    words, texts = [f"w{i}" for i in range(50)], []
+    for _ in range(6):
+        base = rng.choices(words, k=60)
+        for _ in range(9):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(60)] = rng.choice(words)
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame([(i, t, "", "", "") for i, t in enumerate(texts)], DOCS)
+    test_near_duplicates(docs)
+
+
 def test_warc(spark, tmp_path):
     rows = [(5, "u", "same"), (2, "v w", "same"), (9, None, None), (7, "x", ""), (None, "n", "same"), (3, "y", "ünique" * 999), (2, "v", "same")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
