@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kerbside.functions.clock import duration_ms
 
@@ -94,3 +94,35 @@ def aqi_quarterly_trend(readings: DataFrame) -> DataFrame:
             F.count("aqi").alias("reading_count"),
         )
     )
+
+
+def aqi_daily(readings: DataFrame) -> DataFrame:
+    """Sums, counts and a quantile sketch of AQI per zone and day, which reports over longer periods merge."""
+    return (
+        readings.where(F.col("aqi").isNotNull() & ~F.isnan("aqi"))
+        .groupBy("zone", F.col("event_time").cast("date").alias("day"))
+        .agg(
+            F.sum("aqi").alias("aqi_sum"), F.count("aqi").alias("reading_count"), F.max("aqi").alias("peak_aqi"),
+            F.kll_sketch_agg_double("aqi").alias("sketch"),
+        )
+    )
+
+
+def aqi_quarterly_change(daily: DataFrame) -> DataFrame:
+    """Quarters out of ``aqi_daily``: mean, peak, median, slope of the daily means and change of the mean.
+
+    The median comes from the merged sketches; its rank is off by 2 percent at most, with 99 percent confidence.
+    ``slope_per_day`` is the least-squares slope, NULL with a single day. ``change`` is against the quarter right
+    before, NULL where the zone has none.
+    """
+    quarter = F.to_date(F.date_trunc("quarter", F.col("day"))).alias("quarter_start")
+    merged = daily.groupBy("zone", quarter).agg(
+        (F.sum("aqi_sum") / F.sum("reading_count")).alias("avg_aqi"),
+        F.max("peak_aqi").alias("peak_aqi"),
+        F.sum("reading_count").alias("reading_count"),
+        F.regr_slope(F.col("aqi_sum") / F.col("reading_count"), F.unix_date("day")).alias("slope_per_day"),
+        F.kll_sketch_get_quantile_double(F.kll_merge_agg_double("sketch"), F.lit(0.5)).alias("median_aqi"),
+    )
+    by_zone = Window.partitionBy("zone").orderBy("quarter_start")
+    follows = F.lag("quarter_start").over(by_zone) == F.add_months("quarter_start", -3)
+    return merged.withColumn("change", F.when(follows, F.col("avg_aqi") - F.lag("avg_aqi").over(by_zone)))

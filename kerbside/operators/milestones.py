@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.functions.clock import epoch_ms, time_block
+from kerbside.operators.staging import staged
 
 
 def event_milestones(
@@ -16,36 +17,43 @@ def event_milestones(
 ) -> DataFrame:
     """Events number ``every``, 2·``every``, ... in (event time, id) order: (processed, ms, event id).
 
-    No task sees the whole sequence. Events are counted per time bucket, running totals over the counts
-    give each bucket its first number, and rows are numbered within their bucket. A bucket of more than
-    ``bucket_rows`` events is first cut further, by millisecond and run of ``bucket_rows`` ids, which
-    bounds the pieces whatever the clocks say. Ids must be unique and not negative.
+    No task sees the whole sequence. The first pass over the events counts them per millisecond. Running totals, within
+    time buckets and over the buckets, tell in which milliseconds milestones lie, and the second pass takes the
+    events of these only and numbers them by id. Where such a millisecond holds more than ``bucket_rows`` events,
+    runs of ``bucket_rows`` ids are counted and numbered by themselves. Ids must be unique and not negative. Counts
+    and the events taken are staged, since several steps read them.
     """
     rows = df.select(epoch_ms(df).alias("ms"), F.col(id_col)).where(
         F.col("ms").isNotNull() & F.col(id_col).isNotNull()
-    ).withColumn("bucket", time_block(F.col("ms"), bucket_ms))
-    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-
-    # Two levels of running totals, so that none runs over more than a day's buckets or all days.
-    counts = counts.withColumn("day", F.floor(F.col("bucket") * bucket_ms / 86_400_000))
-    days = _with_start(counts.groupBy("day").agg(F.sum("n").alias("n")), [], ["day"]).select(
-        "day", F.col("start").alias("day_start")
-    )
-    starts = _with_start(counts, ["day"], ["bucket"]).join(days, "day").select(
-        "bucket", "n", (F.col("day_start") + F.col("start")).alias("start")
     )
-    # Pieces of a bucket are the bucket itself, or runs of ids within a millisecond where it is too large.
-    piece, cut = ["bucket", "sub_ms", "sub_id"], F.col("n") > bucket_rows
-    fine = rows.join(starts, "bucket").select(
-        "bucket", "ms", id_col, "start",
-        F.when(cut, F.col("ms")).otherwise(0).alias("sub_ms"),
-        F.when(cut, F.floor(F.col(id_col) / bucket_rows)).otherwise(0).alias("sub_id"),
-    )
-    counted = fine.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("bucket_start"))
-    pieces = _with_start(counted, ["bucket"], ["sub_ms", "sub_id"]).withColumn(
-        "start", F.col("bucket_start") + F.col("start")
+    bucket = time_block(F.col("ms"), bucket_ms).alias("bucket")
+    counts = staged(rows.groupBy(bucket, "ms").agg(F.count(F.lit(1)).alias("n")))
+
+    # Three levels of running totals, so that none runs over more than a bucket, a day's buckets or all days.
+    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("n")).withColumn(
+        "day", F.floor(F.col("bucket") * bucket_ms / 86_400_000))
+    days = _with_start(buckets.groupBy("day").agg(F.sum("n").alias("n")), [], ["day"]).select(
+        "day", F.col("start").alias("day_start"))
+    starts = _with_start(buckets, ["day"], ["bucket"]).join(days, "day").select(
+        "bucket", (F.col("day_start") + F.col("start")).alias("bucket_start"))
+    moments = _with_start(counts, ["bucket"], ["ms"]).join(starts, "bucket").select(
+        "ms", "n", (F.col("bucket_start") + F.col("start")).alias("start"))
+
+    piece = F.when(F.col("n") > bucket_rows, F.floor(F.col(id_col) / bucket_rows)).otherwise(0).alias("piece")
+    taken = staged(rows.join(moments.where(_holds_one(every)), "ms").select("ms", id_col, "start", piece))
+    counted = taken.groupBy("ms", "piece").agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("before"))
+    pieces = _with_start(counted, ["ms"], ["piece"]).withColumn("start", F.col("before") + F.col("start"))
+    place = F.row_number().over(Window.partitionBy("ms", "piece").orderBy(id_col))
+    return (
+        taken.drop("start").join(pieces.where(_holds_one(every)).select("ms", "piece", "start"), ["ms", "piece"])
+        .select((F.col("start") + place).alias("processed"), "ms", id_col)
+        .where(F.col("processed") % every == 0)
     )
-    return _numbered(fine.drop("start"), pieces, piece, every, id_col)
+
+
+def _holds_one(every: int) -> Column:
+    """Whether a milestone lies in the ``n`` numbers after ``start``."""
+    return F.floor((F.col("start") + F.col("n")) / every) > F.floor(F.col("start") / every)
 
 
 def _with_start(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame:
@@ -54,17 +62,6 @@ def _with_start(counts: DataFrame, within: list[str], order: list[str]) -> DataF
     return counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
-def _numbered(rows: DataFrame, starts: DataFrame, piece: list[str], every: int, id_col: str) -> DataFrame:
-    # Pieces without a milestone need no numbering.
-    holds_one = F.floor((F.col("start") + F.col("n")) / every) > F.floor(F.col("start") / every)
-    place = F.row_number().over(Window.partitionBy(*piece).orderBy("ms", id_col))
-    return (
-        rows.join(starts.where(holds_one).select(*piece, "start"), piece)
-        .select((F.col("start") + place).alias("processed"), "ms", id_col)
-        .where(F.col("processed") % every == 0)
-    )
-
-
 def processed_count(df: DataFrame, every: int = 200) -> DataFrame:
     """Number of events so far and the milestone last passed; on a stream, a running total."""
     total = F.count(F.lit(1))

@@ -90,6 +90,12 @@ def aqi_quarterly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.withColumn("avg_aqi", _six_digits("avg_aqi"))
 
 
+def aqi_quarterly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = advisory.aqi_daily(views.feed(spark, sf_dir, "air_quality", year=True))
+    return advisory.aqi_quarterly_change(daily).drop("median_aqi").withColumns(
+        {name: _six_digits(name) for name in ("avg_aqi", "slope_per_day", "change")})
+
+
 def route_schedule_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = views.route_schedule_log(spark, sf_dir)
     return enrich.latest_by_key(log, "route_id", deleted="route_name").drop("offset")
@@ -203,7 +209,7 @@ def queries() -> dict[str, Query]:
     named = [
         ward_energy_15m, energy_daily_rollup, energy_weekly_rollup, energy_monthly_rollup,
         energy_archive_latest, aqi_rolling_10m, aqi_rolling_10m_sql, aqi_advisory, aqi_quarterly_trend,
-        route_schedule_latest, route_schedule_messages, gps_enriched, gps_enriched_messages, dlq_records, dlq_report,
+        aqi_quarterly_change, route_schedule_latest, route_schedule_messages, gps_enriched, gps_enriched_messages, dlq_records, dlq_report,
         dlq_report_5m, null_aqi_rate, aqi_emergency, gridlock_latched, gridlock_rolling, bus_bunching,
         bus_pair_distance, incidents_all, incident_messages, json_roundtrip, dedupe_readings,
         event_milestones, processed_count,

@@ -318,6 +318,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT zone, CAST(date_trunc('quarter', event_time) AS DATE) AS quarter_start,
                    round(avg(aqi) + 1e-9::DOUBLE, 6) AS avg_aqi, max(aqi) AS peak_aqi, count(aqi) AS reading_count
             FROM air_quality WHERE aqi IS NOT NULL GROUP BY 1, 2""",
+        "aqi_quarterly_change": _year(_BASE) + _AIR_QUALITY + """, daily AS (
+              SELECT zone, CAST(event_time AS DATE) AS day, sum(aqi) AS s, count(aqi) AS n, max(aqi) AS m
+              FROM air_quality WHERE aqi IS NOT NULL GROUP BY 1, 2), quarters AS (
+              SELECT zone, CAST(date_trunc('quarter', day) AS DATE) AS quarter_start, sum(s) / sum(n) AS mean, max(m) AS peak_aqi,
+                     CAST(sum(n) AS BIGINT) AS reading_count, regr_slope(s / n, date_diff('day', DATE '1970-01-01', day)) AS slope
+              FROM daily GROUP BY 1, 2)
+            SELECT zone, quarter_start, round(mean + 1e-9::DOUBLE, 6) AS avg_aqi, peak_aqi, reading_count,
+                   round(slope + 1e-9::DOUBLE, 6) AS slope_per_day,
+                   round(mean - CASE WHEN lag(quarter_start) OVER z = quarter_start - INTERVAL 3 MONTH THEN lag(mean) OVER z END
+                         + 1e-9::DOUBLE, 6) AS change
+            FROM quarters WINDOW z AS (PARTITION BY zone ORDER BY quarter_start)""",
         "route_schedule_latest": schedule + " SELECT * FROM schedule",
         "route_schedule_messages": schedule + """
             SELECT route_id AS key, '{"route_id":"' || route_id || '","route_name":"' || route_name

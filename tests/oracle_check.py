@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -54,7 +55,8 @@ if __name__ == "__main__":
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kerbside-check-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     sf_dir, names = sys.argv[1], sys.argv[2:]

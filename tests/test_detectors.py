@@ -1,4 +1,4 @@
-"""Detectors on boundary tables and, key by key, against event-at-a-time simulators."""
+"""Detectors on boundary tables and, key by key, against event-at-a-time plain_rules."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-import simulators
+import plain_rules
 from kerbside.operators import alerts
 from kerbside.operators.aqi import aqi_emergencies
 from kerbside.operators.bunching import bus_bunching, close_contacts
@@ -78,7 +78,7 @@ def test_aqi_against_simulator(spark, block_ms):
             value = rng.choice([None, 100.0, 300.0, 301.0, 400.0, 500.0])
             rows.append((f"S{sensor}", value, rng.choice(["OK", "OK", None, "TIMEOUT"]), ms, len(rows)))
     rng.shuffle(rows)
-    assert ids(aqi_emergencies(aqi_table(spark, rows), block_ms=block_ms)) == simulators.aqi(rows)
+    assert ids(aqi_emergencies(aqi_table(spark, rows), block_ms=block_ms)) == plain_rules.aqi(rows)
 
 
 def test_aqi_one_busy_sensor(spark):
@@ -90,7 +90,19 @@ def test_aqi_one_busy_sensor(spark):
         F.col("id").alias("event_id"),
     )
     plain = [("S", 400.0, "OK", i + i // 7, i) for i in range(400_000)]
-    assert ids(aqi_emergencies(rows, block_ms=130_000)) == simulators.aqi(plain)
+    assert ids(aqi_emergencies(rows, block_ms=130_000)) == plain_rules.aqi(plain)
+
+
+def test_aqi_stays_in_the_jvm_and_reads_once(spark, tmp_path):
+    rows = [(f"S{i % 5}", 400.0, "OK", 7_000 * i, i) for i in range(4000)]
+    aqi_table(spark, rows).write.parquet(f"{tmp_path}/readings")
+    found = aqi_emergencies(spark.read.parquet(f"{tmp_path}/readings"))
+    assert ids(found) == plain_rules.aqi(rows)
+    run = found._jdf.queryExecution().executedPlan().toString()
+    final = run.split("== Initial Plan ==")[0]
+    assert "Python" not in final and "Pandas" not in final and "Arrow" not in final
+    exchanges = [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert final.count("FileScan") == 1 and len(exchanges) <= 3, final
 
 
 # --- gridlock ------------------------------------------------------------------------------------
@@ -114,6 +126,17 @@ def test_gridlock_boundaries(spark, waits, latch, expected, block_ms):
     assert sorted((r.event_id, round(r.avg_wait, 6)) for r in found) == expected
 
 
+@pytest.mark.parametrize("latch", [True, False])
+def test_gridlock_one_busy_junction(spark, latch):
+    # Nearly all cycles are one junction's, and nearly all of these fall into one hour.
+    rng, rows = random.Random(3), []
+    for i in range(60_000):
+        ms = 36 * i if i % 50 else 3_600_000 * rng.randrange(40) + rng.randrange(1000)
+        rows.append(("J" if i % 100 else "K", rng.choice([100.0, 200.0, 201.0, 202.0, 203.0]), ms, i))
+    found = gridlock(signal_table(spark, rows).repartition(8), latch=latch)
+    assert sorted((r.event_id, round(r.avg_wait, 6)) for r in found.collect()) == plain_rules.gridlock(rows, latch)
+
+
 @pytest.mark.parametrize("latch", [True, False])
 @pytest.mark.parametrize("block_ms", [1_000, 90_000, 3_600_000])
 def test_gridlock_against_simulator(spark, latch, block_ms):
@@ -126,7 +149,7 @@ def test_gridlock_against_simulator(spark, latch, block_ms):
             rows.append((f"J{junction}", wait, ms, len(rows)))
     rng.shuffle(rows)
     found = gridlock(signal_table(spark, rows), latch=latch, block_ms=block_ms).collect()
-    assert sorted((r.event_id, round(r.avg_wait, 6)) for r in found) == simulators.gridlock(rows, latch)
+    assert sorted((r.event_id, round(r.avg_wait, 6)) for r in found) == plain_rules.gridlock(rows, latch)
 
 
 # --- bunching ------------------------------------------------------------------------------------
@@ -191,7 +214,7 @@ def bunching_cases(spark):
     rows = []
     for number, (name, case) in enumerate(CASES.items()):
         rows += [(f"{number}/{r}", b, lat, lon, ms, number * 1000 + i) for r, b, lat, lon, ms, i in case]
-    return simulators.bunching(rows), pairs(bus_bunching(gps_table(spark, rows)))
+    return plain_rules.bunching(rows), pairs(bus_bunching(gps_table(spark, rows)))
 
 
 @pytest.mark.parametrize("name, number", [(name, i) for i, name in enumerate(CASES)])
@@ -234,7 +257,7 @@ def random_walks(seed, routes=60):
 @pytest.mark.parametrize("seed, hold", [(1, 300_000), (2, 300_000), (3, 100_000), (4, 900_000)])
 def test_bunching_against_simulator(spark, seed, hold):
     rows = random_walks(seed)
-    expected = simulators.bunching(rows, hold=hold)
+    expected = plain_rules.bunching(rows, hold=hold)
     assert len(expected) > 5
     assert pairs(bus_bunching(gps_table(spark, rows), hold_ms=hold, stage_rows=seed % 2 == 0)) == expected
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.clock import duration_ms, iso_instant, parse_event_time
 from kerbside.functions.geo import haversine_m, pair_key
 from kerbside.functions.json_codec import decode_json, encode_json
-from kerbside.operators.advisory import _rolling_direct, health_advisories, rolling_aqi
+from kerbside.operators.advisory import _rolling_direct, aqi_daily, aqi_quarterly_change, health_advisories, rolling_aqi
 from kerbside.operators.energy import archive_rows, compact_archive, energy_rollup, latest_ward_energy, ward_energy
 from kerbside.operators.enrich import dedupe_readings, enrich_messages, enrich_positions, latest_by_key
 from kerbside.operators.milestones import event_milestones
@@ -21,7 +21,7 @@ from kerbside.schemas import AIR_QUALITY, BUS_GPS
 from kerbside.sources.reference import (
     current_route_schedule, publish_route_schedule, read_energy_archive, read_route_schedule, read_zone_profile)
 from kerbside.sources.topics import Topics, as_envelope
-from simulators import metres_between
+from plain_rules import metres_between
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -229,6 +229,32 @@ def test_dedupe_keeps_readings_without_time(spark):
     assert sorted(r.event_id for r in dedupe_readings(rows).collect()) == [1, 2]
 
 
+def test_dedupe_plan_counts_hashes(spark):
+    rows = spark.range(1000).selectExpr(
+        "cast(id % 900 as string) AS sensor_id", "timestamp_millis(id % 900) AS event_time", "id AS event_id", "id * 1.0 AS aqi")
+    found = dedupe_readings(rows)
+    assert sorted(r.event_id for r in found.collect()) == list(range(900))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_quarterly_median_within_its_error(spark):
+    rows = spark.range(60_000).selectExpr(
+        "concat('Z', id % 3) AS zone", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 364) AS event_time",
+        "cast((id * 7919) % 5003 AS double) AS aqi")
+    rows = rows.unionByName(rows.limit(1).withColumn("aqi", F.lit(None).cast("double")))
+    got = {(r.zone, r.quarter_start): r for r in aqi_quarterly_change(aqi_daily(rows)).collect()}
+    values = {}
+    for r in rows.where("aqi IS NOT NULL").collect():
+        start = r.event_time.date().replace(month=(r.event_time.month - 1) // 3 * 3 + 1, day=1)
+        values.setdefault((r.zone, start), []).append(r.aqi)
+    assert set(got) == set(values) and len(got) == 12
+    for key, held in values.items():
+        rank = sum(v <= got[key].median_aqi for v in held) / len(held)
+        assert abs(rank - 0.5) < 0.02 and got[key].reading_count == len(held)
+        assert (got[key].change is None) == (key[1].month == 1)
+
+
 # --- milestones ----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("bucket_rows", [10, 150, 4_000_000])
