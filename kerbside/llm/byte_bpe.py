@@ -24,7 +24,7 @@ CHUNK = 65_536
 OVERLAP = 2_048
 #: Characters at a chunk's end whose absence could still change how the pattern matches before them.
 MARGIN = 8
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 
 ENCODED = "doc_id long, ids binary"
 DECODED = ENCODED + ", decoded binary"

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.llm import quotient_filter as qf
 from kerbside.llm.exchange import blocks_for
-from kerbside.llm.words import text_slices
+from kerbside.llm.words import bound_batches, text_slices
 from kerbside.operators.staging import staged
 
 #: Occurrences that a phrase needs, and phrases reported for each language.
@@ -192,6 +192,7 @@ def frequent_ngrams(
     documents: DataFrame, least: int = LEAST, slice_bytes: int = SLICE_BYTES, row_words: int = ROW_WORDS, held: int = HELD
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, n) of all words; (id, lang, word, f) of frequent words; (w1..w4, f) of all frequent n-grams, words included."""
+    bound_batches(documents.sparkSession)
     texts = documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     coded = staged(texts.mapInArrow(_coded(slice_bytes, row_words), _CODED))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.llm.components import components
 from kerbside.llm.exchange import HOT, blocks_for, shared_keys, short_keys
-from kerbside.llm.words import mix, text_slices, window_hashes, word_hashes
+from kerbside.llm.words import bound_batches, mix, text_slices, window_hashes, word_hashes
 from kerbside.operators.staging import staged
 
 SHINGLE_WORDS = 5
@@ -266,6 +266,7 @@ def _classes(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame,
     A class's ``doc_id`` is the smallest of its rows, and classes that links join share a label.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bound_batches(documents.sparkSession)
     blocks = blocks_for(documents)
     sets = staged(rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         _sets(size, blocks), "doc_id long, text_hash long, n long, n_keys long, digest binary"))

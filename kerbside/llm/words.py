@@ -6,18 +6,33 @@ A word is a run of bytes other than the ASCII white space 0x20 and 0x09 to 0x0D.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch on its way to Python, besides its last row.
+BATCH_BYTES = 4 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes: 10,000 rows of long texts would be hundreds of megabytes a task.
+
+    A lower bound that the session has already stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not 0 < int(re.sub(r"\D", "", now)) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -36,6 +51,7 @@ def text_slices(
             size += length
         if first < batch.num_rows:
             yield batch.slice(first), [x or b"" for x in column.slice(first).to_pylist()]
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def mix(x: np.ndarray) -> np.ndarray:
