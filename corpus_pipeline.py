@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.llm import byte_bpe, decontaminate, ngram_join, quality, substring_dedup
+from kerbside.llm.words import bound_batches
 from kerbside.operators.staging import shared_folder
 
 #: The stages' decisions come from fitted trees and a tokenizer's merges, which SQL cannot express.
@@ -22,6 +23,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; of rows that repeat a ``doc_id``, each is judged by its own text."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, labels)
 
@@ -33,6 +35,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere too; documents that nothing is left of go."""
+    bound_batches(spark)
     cut = substring_dedup.remove_repeated(docs).withColumn("n_chars", F.length("text").cast("long"))
     return cut.where(F.length(F.coalesce("text", F.lit(""))) > 0).select(docs.columns)
 
@@ -44,6 +47,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document with their count and digests."""
+    bound_batches(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return byte_bpe.digests(byte_bpe.encode_documents(docs, ranks, pattern, decode=True))
 
