@@ -97,5 +97,35 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Windows of words as lists, so for tables of some thousand documents.
+_COLLOCATIONS = r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+      FROM documents),
+    listed AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM listed GROUP BY 1),
+    starts AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM listed, (VALUES (1), (2), (3), (4)) sizes(k)),
+    grams AS (
+      SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts
+      GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+    split AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE k > 1),
+    cuts AS (SELECT *, unnest(range(1, k)) AS j FROM split),
+    scored AS (
+      SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, c.j, (2000000 * c.f::HUGEINT) // (x.f + y.f) AS score
+      FROM cuts c
+      JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+      JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1:], ' ')),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inside AS (
+      SELECT lang, unnest([array_to_string(w[1:k - 1], ' '), array_to_string(w[2:], ' ')]) AS phrase, f FROM split WHERE k > 2),
+    longest AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY 1, 2)
+    SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n,
+           CAST(score AS BIGINT) AS score
+    FROM best b JOIN totals USING (lang) LEFT JOIN longest g ON g.lang = b.lang AND g.phrase = b.phrase
+    WHERE g.f IS NULL OR 100 * g.f < 80 * a
+    QUALIFY rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_collocations": _COLLOCATIONS}
