@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 HEADLINE = [
     "ward_energy_15m", "energy_daily_rollup", "aqi_rolling_10m", "aqi_advisory", "gps_enriched", "dlq_records",
     "dlq_report", "null_aqi_rate", "valid_bus_gps", "json_roundtrip", "dedupe_readings", "event_milestones",
-    "aqi_emergency", "gridlock_latched", "gridlock_rolling", "bus_bunching", "bus_pair_distance", "incidents_all",
+    "aqi_emergency", "gridlock_latched", "gridlock_rolling", "bus_bunching", "bus_pair_distance", "bus_contact_intervals", "incidents_all",
 ]
 
 

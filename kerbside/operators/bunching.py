@@ -39,19 +39,14 @@ def bus_bunching(
     does not end a streak.
 
     Buses are paired only in the slices in which they come near each other, and in the slice after, to see
-    whether they parted. Each pair then has one summary row per slice, chained in time order. The few slices
-    in which the chain shows an alert are compared once more, to find the very row. The small tables in
-    between are staged in the checkpoint folder. ``stage_rows`` stages the positions too; they are read
-    several times, so that pays when they are decoded or computed rather than read from a columnar table.
+    whether they parted. Their stretches of closeness are chained over the slices; the few slices in which a
+    chain grows ``hold_ms`` long are compared once more, to find the very row. The stretches and those slices
+    are staged in the shared folder. ``stage_rows`` stages the positions too; they are read several times, so
+    that pays when they are decoded or computed rather than read from a columnar table.
     """
     rows = _rows(gps, stale_ms, id_col)
     rows = staged(rows) if stage_rows else rows
-    near = staged(_near_pairs(rows, metres, stale_ms))
-    looked_at = near.unionByName(near.withColumn("slice", F.col("slice") + 1)).distinct()
-    compared = _comparisons(_with_carried(rows), looked_at, metres, stale_ms)
-    summary = staged(_slice_summaries(compared, hold_ms))
-    apart = _separations_in_silence(rows, near, summary, stale_ms)
-    alerting = staged(_alerting_slices(summary.unionByName(apart, allowMissingColumns=True), hold_ms))
+    alerting = staged(_alerting_slices(_all_stretches(rows, metres, stale_ms), hold_ms))
 
     in_play = F.explode(F.array(F.col("slice") - 1, F.col("slice"))).alias("slice")
     needed = _both_buses(alerting).select(*_BUS, in_play).distinct()
@@ -59,6 +54,34 @@ def bus_bunching(
     return _alerts(_comparisons(again, alerting, metres, stale_ms), hold_ms, id_col)
 
 
+def contact_intervals(
+    gps: DataFrame,
+    metres: float = NEAR_METRES,
+    stale_ms: int = STALE_MS,
+    id_col: str = "event_id",
+    stage_rows: bool = False,
+) -> DataFrame:
+    """How long two buses of a route stayed close: (route_id, bus_id_1, bus_id_2, from_ms, to_ms, comparisons,
+    closest_meters), ``bus_id_1`` the smaller id.
+
+    An interval reaches from the first to the last of a pair's close comparisons with no far one in between;
+    silence does not end it. The output is as large as the intervals, however often their buses report.
+    """
+    rows = _rows(gps, stale_ms, id_col)
+    rows = staged(rows) if stage_rows else rows
+    inner, edges = _all_stretches(rows, metres, stale_ms)
+    measured = [
+        F.min("since").alias("from_ms"), F.max("to").alias("to_ms"), F.sum("n").alias("comparisons"),
+        F.min("closest").alias("closest_meters"),
+    ]
+    across = edges.groupBy(*_PAIR, "run").agg(*measured).where("from_ms IS NOT NULL")
+    within = inner.select(
+        *_PAIR, F.col("since").alias("from_ms"), F.col("to").alias("to_ms"), F.col("n").alias("comparisons"),
+        F.col("closest").alias("closest_meters"),
+    )
+    return across.drop("run").unionByName(within).withColumnsRenamed({"bus_a": "bus_id_1", "bus_b": "bus_id_2"})
+
+
 def close_contacts(
     gps: DataFrame,
     metres: float = NEAR_METRES,
@@ -169,39 +192,55 @@ def _comparisons(placed: DataFrame, pairs: DataFrame, metres: float, stale_ms: i
     )
 
 
-def _slice_summaries(compared: DataFrame, hold_ms: int) -> DataFrame:
-    """Per (pair, slice): its separations, the close run before the first and the one after the last."""
-    close_ms = F.when(F.col("close"), F.col("ms"))
-    runs = compared.groupBy(*_PAIR, "slice", "streak").agg(F.min(close_ms).alias("since"), F.max(close_ms).alias("to"))
-    lead = F.col("streak") == 0
-    return runs.groupBy(*_PAIR, "slice").agg(
-        F.max("streak").alias("separations"),
-        F.min(F.when(lead, F.col("since"))).alias("lead_from"),
-        F.min(F.when(lead, F.col("to"))).alias("lead_to"),
-        F.max_by("since", "streak").alias("tail_from"),
-        F.max_by("to", "streak").alias("tail_to"),
-        F.bool_or(F.col("to") - F.col("since") >= hold_ms).alias("inner_alert"),
+def _all_stretches(rows: DataFrame, metres: float, stale_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Stretches of close comparisons: those within one slice, and those at slice ends, chained as ``run``."""
+    near = _near_pairs(rows, metres, stale_ms)
+    looked_at = near.select(*_PAIR, F.explode(F.array(F.col("slice"), F.col("slice") + 1)).alias("slice")).distinct()
+    found = staged(_stretches(_comparisons(_with_carried(rows), looked_at, metres, stale_ms)))
+    at_end = (F.col("streak") == 0) | F.col("last")
+    edges = found.where(at_end)
+    apart = _separations_in_silence(rows, edges, stale_ms)
+    by_slice = Window.partitionBy(*_PAIR).orderBy("slice", "streak").rowsBetween(Window.unboundedPreceding, 0)
+    opened = F.when(F.col("streak") > 0, 1).otherwise(0)
+    chained = edges.unionByName(apart, allowMissingColumns=True).withColumn("run", F.sum(opened).over(by_slice))
+    return found.where(~at_end & F.col("since").isNotNull()), chained
+
+
+def _stretches(compared: DataFrame) -> DataFrame:
+    """Per (pair, slice) and run of close comparisons its ends, size and least distance.
+
+    The run numbered 0 continues what the slices before left open. Each later one follows a separation, and is
+    empty (``since`` NULL) if the next comparison was a far one too; of a slice's empty runs only its last stays.
+    """
+    close = F.col("close")
+    runs = compared.groupBy(*_PAIR, "slice", "streak").agg(
+        F.min(F.when(close, F.col("ms"))).alias("since"),
+        F.max(F.when(close, F.col("ms"))).alias("to"),
+        F.count_if(close).alias("n"),
+        F.min(F.when(close, F.col("distance"))).alias("closest"),
     )
+    in_slice = Window.partitionBy(*_PAIR, "slice")
+    ended = runs.withColumn("last", F.col("streak") == F.max("streak").over(in_slice))
+    return ended.where(F.col("last") | F.col("since").isNotNull())
 
 
-def _separations_in_silence(rows: DataFrame, near: DataFrame, summary: DataFrame, stale_ms: int) -> DataFrame:
-    """One-separation rows for slices away from the near ones in which a pair was seen apart.
+def _separations_in_silence(rows: DataFrame, edges: DataFrame, stale_ms: int) -> DataFrame:
+    """One empty run for slices in which a pair was seen apart after it was left close and fell silent.
 
-    Any comparison outside the near slices is a far one. Normally the slice right after a near one, which
-    has been looked at, shows it. Where that slice holds no comparison, one of the buses has gone silent,
-    and the pair's next comparison falls into a slice in which one of the two reports after a silence
-    longer than the staleness bound; those slices are looked at here.
+    Normally the slice right after a close comparison, which has been looked at, shows how it went on. Where
+    that slice holds no comparison, one of the buses has gone silent, and the pair's next comparison falls into
+    a slice in which one of the two reports after a silence longer than the staleness bound; those slices, up to
+    the next one that was looked at and holds a comparison, are looked at here. Buses and gaps meet by block of
+    slices, so a gap meets the reports of its own time only.
     """
-    by_slice = Window.partitionBy(*_PAIR).orderBy("slice")
-    silent = (
-        near.withColumn("next_slice", F.lead("slice").over(by_slice))
-        .where("next_slice > slice + 2")
-        .withColumn("slice", F.col("slice") + 1)
-        .join(summary, [*_PAIR, "slice"], "left_anti")
-        .groupBy(*_PAIR)
-        .agg(F.min("slice").alias("from_slice"), F.max("next_slice").alias("to_slice"))
+    block = 32
+    by_slice = Window.partitionBy(*_PAIR).orderBy("slice", "streak")
+    gaps = (
+        edges.withColumn("until", F.lead("slice").over(by_slice))
+        .where(F.col("last") & F.col("to").isNotNull() & (F.col("until") > F.col("slice") + 2))
+        .select(*_PAIR, F.col("slice").alias("after"), "until")
     )
-    members = _both_buses(silent)
+    members = _both_buses(gaps)
     seen = (
         rows.join(members.select(*_BUS).distinct(), _BUS, "left_semi")
         .groupBy(*_BUS, "slice")
@@ -218,12 +257,17 @@ def _separations_in_silence(rows: DataFrame, near: DataFrame, summary: DataFrame
         .agg(F.max("first_ms").alias("first_ms"), F.max("before_ms").alias("before_ms"))
     )
     after_silence = F.col("before_ms").isNull() | (F.col("first_ms") - F.col("before_ms") > stale_ms)
+    blocks = F.sequence(F.floor((F.col("after") + 2) / block), F.floor((F.col("until") - 1) / block))
     probes = (
-        members.join(around.where(F.col("first_ms").isNotNull() & after_silence), _BUS)
-        .where((F.col("slice") > F.col("from_slice")) & (F.col("slice") < F.col("to_slice")))
+        members.withColumn("block", F.explode(blocks))
+        .join(
+            around.where(F.col("first_ms").isNotNull() & after_silence)
+            .select(*_BUS, "slice", F.floor(F.col("slice") / block).alias("block")),
+            [*_BUS, "block"],
+        )
+        .where((F.col("slice") > F.col("after") + 1) & (F.col("slice") < F.col("until")))
         .select(*_PAIR, "slice")
         .distinct()
-        .join(near, [*_PAIR, "slice"], "left_anti")
     )
     is_a = F.col("bus_id") == F.col("bus_a")
     sides = _both_buses(probes).join(around, [*_BUS, "slice"]).groupBy(*_PAIR, "slice").agg(
@@ -240,25 +284,30 @@ def _separations_in_silence(rows: DataFrame, near: DataFrame, summary: DataFrame
         | (F.col("first_a") - F.col("before_b") <= stale_ms)
         | (F.col("first_b") - F.col("before_a") <= stale_ms)
     )
-    return sides.where(compared).select(*_PAIR, "slice", F.lit(1).cast("long").alias("separations"))
-
-
-def _alerting_slices(chain: DataFrame, hold_ms: int) -> DataFrame:
-    """Slices that hold an alert, with the streak each one continues: its start and its last row."""
-    by_slice = Window.partitionBy(*_PAIR).orderBy("slice")
-    split = F.col("separations") > 0
-    rows = chain.withColumn("run", F.sum(F.when(split, 1).otherwise(0)).over(by_slice))
-    in_run = Window.partitionBy(*_PAIR, "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    opened = F.when(split, F.col("tail_from")).otherwise(F.col("lead_from"))
-    latest = F.when(split, F.col("tail_to")).otherwise(F.col("lead_to"))
-    rows = rows.withColumn("open_from", F.min(opened).over(in_run)).withColumn("open_to", F.max(latest).over(in_run))
-    rows = rows.select(
-        "*", F.lag("open_from").over(by_slice).alias("since_in"), F.lag("open_to").over(by_slice).alias("last_in")
-    )
-    since = F.coalesce("since_in", "lead_from")
+    return sides.where(compared).select(*_PAIR, "slice", F.lit(1).cast("long").alias("streak"))
+
+
+def _alerting_slices(stretches: tuple[DataFrame, DataFrame], hold_ms: int) -> DataFrame:
+    """Slices that hold an alert, with the run that each one continues: its start and its last row."""
+    inner, edges = stretches
+    before = Window.partitionBy(*_PAIR, "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("since_in", F.min("since").over(before)).withColumn("last_in", F.max("to").over(before))
     not_yet = F.col("last_in").isNull() | (F.col("last_in") - F.col("since_in") < hold_ms)
-    carried_alert = F.col("lead_from").isNotNull() & not_yet & (F.col("lead_to") - since >= hold_ms)
-    return rows.where(carried_alert | F.col("inner_alert")).select(*_PAIR, "slice", "since_in", "last_in")
+    due = not_yet & (F.col("to") - F.coalesce("since_in", "since") >= hold_ms)
+    held = inner.where(F.col("to") - F.col("since") >= hold_ms).select(*_PAIR, "slice", F.lit(True).alias("due"))
+    continued = F.col("streak") == 0
+    return (
+        edges.withColumn("due", due)
+        .unionByName(held, allowMissingColumns=True)
+        .groupBy(*_PAIR, "slice")
+        .agg(
+            F.max(F.when(continued, F.col("since_in"))).alias("since_in"),
+            F.max(F.when(continued, F.col("last_in"))).alias("last_in"),
+            F.bool_or("due").alias("due"),
+        )
+        .where("due")
+        .drop("due")
+    )
 
 
 def _alerts(compared: DataFrame, hold_ms: int, id_col: str) -> DataFrame:

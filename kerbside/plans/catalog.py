@@ -172,6 +172,11 @@ def bus_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metres_rounded(bunching.close_contacts(views.feed(spark, sf_dir, "bus_gps"), stage_rows=True))
 
 
+def bus_contact_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bunching.contact_intervals(views.feed(spark, sf_dir, "bus_gps"), stage_rows=True)
+    return found.withColumn("closest_meters", F.round("closest_meters", 4))
+
+
 def _metres_rounded(found: DataFrame) -> DataFrame:
     return found.withColumn("distance_meters", F.round("distance_meters", 4))
 
@@ -211,7 +216,7 @@ def queries() -> dict[str, Query]:
         energy_archive_latest, aqi_rolling_10m, aqi_rolling_10m_sql, aqi_advisory, aqi_quarterly_trend,
         aqi_quarterly_change, route_schedule_latest, route_schedule_messages, gps_enriched, gps_enriched_messages, dlq_records, dlq_report,
         dlq_report_5m, null_aqi_rate, aqi_emergency, gridlock_latched, gridlock_rolling, bus_bunching,
-        bus_pair_distance, incidents_all, incident_messages, json_roundtrip, dedupe_readings,
+        bus_pair_distance, bus_contact_intervals, incidents_all, incident_messages, json_roundtrip, dedupe_readings,
         event_milestones, processed_count,
     ]
     found: dict[str, Query] = {query.__name__: query for query in named}

@@ -374,6 +374,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT route_id, bus_id AS bus_id_1, other_bus AS bus_id_2, round(distance, 4) AS distance_meters,
                    ms, event_id
             FROM compared WHERE distance <= 200""",
+        "bus_contact_intervals": _BASE + _BUNCHED + """
+            SELECT route_id, a AS bus_id_1, z AS bus_id_2, min(ms) AS from_ms, max(ms) AS to_ms,
+                   count(*) AS comparisons, round(min(distance), 4) AS closest_meters
+            FROM islands WHERE distance <= 200 GROUP BY route_id, a, z, island""",
         "incidents_all": _recursive(_EMERGENCY + _CYCLES + _BUNCHED)
         + f" {_ALERT_AQI} UNION ALL {_ALERT_GRIDLOCK} UNION ALL {_ALERT_BUNCHING}",
         "incident_messages": _recursive(_EMERGENCY + _CYCLES + _BUNCHED)

@@ -60,3 +60,23 @@ def bunching(rows, metres=200.0, hold=300_000, stale=180_000):
                 since.pop(pair, None)
                 alerted.discard(pair)
     return sorted(found)
+
+
+def contacts(rows, metres=200.0, stale=180_000):
+    """rows as above -> (route, bus, other bus, first ms, last ms, comparisons) per contact."""
+    places, open_, found = {}, {}, []
+    for route, bus, lat, lon, ms, rid in sorted(rows, key=lambda r: (r[4], r[5])):
+        if lat is None or lon is None:
+            continue
+        buses = places.setdefault(route, {})
+        buses[bus] = (lat, lon, ms)
+        for other, (olat, olon, oms) in buses.items():
+            if other == bus or abs(ms - oms) > stale:
+                continue
+            pair = (route, *sorted((bus, other)))
+            if metres_between(lat, lon, olat, olon) <= metres:
+                first, _, n = open_.get(pair, (ms, ms, 0))
+                open_[pair] = (first, ms, n + 1)
+            elif pair in open_:
+                found.append((*pair, *open_.pop(pair)))
+    return sorted(found + [(*pair, *contact) for pair, contact in open_.items()])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import plain_rules
 from kerbside.operators import alerts
 from kerbside.operators.aqi import aqi_emergencies
-from kerbside.operators.bunching import bus_bunching, close_contacts
+from kerbside.operators.bunching import bus_bunching, close_contacts, contact_intervals
 from kerbside.operators.gridlock import gridlock
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -262,6 +262,26 @@ def test_bunching_against_simulator(spark, seed, hold):
     assert pairs(bus_bunching(gps_table(spark, rows), hold_ms=hold, stage_rows=seed % 2 == 0)) == expected
 
 
+def intervals(df):
+    return sorted((r.route_id, r.bus_id_1, r.bus_id_2, r.from_ms - START_MS, r.to_ms - START_MS, r.comparisons) for r in df.collect())
+
+
+@pytest.mark.parametrize("seed", [1, 6])
+def test_contact_intervals_against_simulator(spark, seed):
+    rows = random_walks(seed)
+    expected = plain_rules.contacts(rows)
+    assert len(expected) > 50 and any(first < last for *_, first, last, _ in expected)
+    assert intervals(contact_intervals(gps_table(spark, rows).repartition(5))) == expected
+
+
+def test_contact_intervals_at_boundaries(spark):
+    rows = []
+    for number, case in enumerate(CASES.values()):
+        rows += [(f"{number}/{r}", b, lat, lon, ms, number * 1000 + i) for r, b, lat, lon, ms, i in case]
+    assert intervals(contact_intervals(gps_table(spark, rows))) == plain_rules.contacts(rows)
+    assert contact_intervals(gps_table(spark, rows).limit(0)).count() == 0
+
+
 def test_close_contacts_hold_the_alerts(spark):
     gps = gps_table(spark, random_walks(5, routes=20)).repartition(7)
     contacts = set(pairs(close_contacts(gps)))
