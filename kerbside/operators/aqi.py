@@ -23,10 +23,10 @@ MUTE_MS = 120_000
 _STEP = "struct<upto: int, value: int>"
 
 
-def hazardous(readings: DataFrame, threshold: float = HAZARDOUS_AQI) -> DataFrame:
-    """Readings above the threshold from sensors that did not time out (a missing status passes)."""
+def is_hazardous(threshold: float = HAZARDOUS_AQI) -> Column:
+    """A reading above the threshold from a sensor that did not time out (a missing status passes)."""
     timed_out = F.col("sensor_status").eqNullSafe("TIMEOUT")
-    return readings.where(F.col("aqi").isNotNull() & ~timed_out & (F.col("aqi") > threshold))
+    return F.col("aqi").isNotNull() & ~timed_out & (F.col("aqi") > threshold)
 
 
 def aqi_emergencies(
@@ -50,7 +50,7 @@ def aqi_emergencies(
 
     The readings are read and shuffled once, the maps once and the entries once; all else stays in place.
     """
-    rows = hazardous(readings, threshold)
+    rows = readings.where(is_hazardous(threshold))
     rows = rows.select("sensor_id", "zone", "aqi", epoch_ms(rows).alias("ms"), F.col(id_col).alias("id")).where(
         F.col("ms").isNotNull() & F.col("sensor_id").isNotNull()
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions.json_codec import encode_json
@@ -9,6 +11,8 @@ from kerbside.operators.enrich import latest_by_key
 from kerbside.schemas import ROUTE_SCHEDULE, ZONE_PROFILE
 from kerbside.sources.topics import Topics
 
+_MESSAGE = "key binary, value binary, offset long"
+
 
 def read_zone_profile(spark: SparkSession, path: str) -> DataFrame:
     """Zone profile CSV with header; the stated types save a pass over the file to infer them."""
@@ -30,12 +34,68 @@ def current_route_schedule(spark: SparkSession, topics: Topics, topic: str) -> D
 
     A topic keeps a key in one partition, so offsets order a key's rows.
     """
-    log = topics.log(spark, topic).where(F.col("key").isNotNull()).select("key", "value", "offset")
-    newest = latest_by_key(log, deleted="value")
+    return schedule_rows(latest_by_key(_keyed(topics.log(spark, topic)), deleted="value"))
+
+
+def schedule_rows(newest: DataFrame) -> DataFrame:
+    """Schedule columns of a topic's newest messages; unreadable ones and those without a route are left out."""
     schedule = F.from_json(F.col("value").cast("string"), ROUTE_SCHEDULE)
     return newest.select(schedule.alias("s")).select("s.*").where(F.col("route_id").isNotNull())
 
 
+def _keyed(log: DataFrame) -> DataFrame:
+    return log.where(F.col("key").isNotNull()).select("key", "value", "offset")
+
+
+@dataclass
+class UpsertSnapshot:
+    """An upsert topic as a table that is kept, so that a refresh reads the messages since the last one only.
+
+    Under ``path`` stand the versions of the table, one per batch that brought news, and the stream's progress. A
+    batch is merged into the version before its own, deletions included, and written whole under its number; a
+    batch that is repeated after a failure replaces what it wrote. Its cost is that of the table and the news, not
+    of the topic. One snapshot has one owner: two jobs refresh two paths.
+    """
+
+    spark: SparkSession
+    topics: Topics
+    topic: str
+    path: str
+    max_per_batch: int | None = None
+    #: Messages that each refresh so far has read.
+    read_rows: list[int] = field(default_factory=list)
+
+    def refresh(self) -> DataFrame:
+        """Newest ``(key, value, offset)`` per key, deleted keys left out, as the topic stands now."""
+        news = self.topics.stream(self.spark, self.topic, starting="earliest", max_per_batch=self.max_per_batch)
+        query = (
+            _keyed(news).writeStream.foreachBatch(self._merge)
+            .option("checkpointLocation", f"{self.path}/progress").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        self.read_rows.append(sum(progress.numInputRows for progress in query.recentProgress))
+        return self._version(None)
+
+    def _merge(self, news: DataFrame, batch_id: int) -> None:
+        both = self._version(before=batch_id).unionByName(news)
+        latest_by_key(both, deleted="value").write.mode("overwrite").parquet(f"{self._versions}/version={batch_id}")
+
+    @property
+    def _versions(self) -> str:
+        return f"{self.path}/versions"
+
+    def _version(self, before: int | None) -> DataFrame:
+        """The newest version, of those before a number if given; none is an empty table."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._versions)
+        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        names = [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
+        numbers = [int(name.removeprefix("version=")) for name in names]
+        known = [number for number in numbers if before is None or number < before]
+        if not known:
+            return self.spark.createDataFrame([], _MESSAGE)
+        return self.spark.read.schema(_MESSAGE).parquet(f"{self._versions}/version={max(known)}")
+
+
 def read_energy_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived ward summaries; filters on ward and date skip whole folders."""
     return spark.read.parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from kerbside.schemas import FEEDS  # noqa: E402
-from kerbside.sources.reference import current_route_schedule, read_zone_profile  # noqa: E402
+from kerbside.sources.reference import UpsertSnapshot, read_zone_profile, schedule_rows  # noqa: E402
 from kerbside.sources.topics import Topics  # noqa: E402
 from kerbside.streaming import jobs  # noqa: E402
 
@@ -34,12 +34,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="topic to write")
     parser.add_argument("--checkpoint", required=True, help="folder that driver and executors share")
     parser.add_argument("--archive", help="folder of the energy archive")
+    parser.add_argument("--counts", help="folder in which the router counts rejected messages")
     parser.add_argument("--zones", help="zone profile as CSV")
     parser.add_argument("--schedule", default="route_schedule", help="upsert topic of the route schedule")
     parser.add_argument("--refresh-seconds", type=float, default=60, help="how long a schedule is kept")
     parser.add_argument("--starting", default="latest")
     parser.add_argument("--max-per-batch", type=int, default=MAX_PER_BATCH)
     parser.add_argument("--ttl-ms", type=int, help="forget detector keys that are silent for so long")
+    parser.add_argument("--event-order", action="store_true", help="incidents in event-time order, late rows dropped")
     parser.add_argument("--trigger", help="such as '1 minute'; each job has its own default")
     parser.add_argument("--once", action="store_true")
     found = parser.parse_args(argv)
@@ -65,13 +67,14 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     def raw(*names: str):
         return topics.stream(spark, *names, starting=args.starting, max_per_batch=args.max_per_batch)
 
-    schedule = jobs.refreshed(lambda: current_route_schedule(spark, topics, args.schedule), args.refresh_seconds)
+    snapshot = UpsertSnapshot(spark, topics, args.schedule, f"{args.checkpoint}/{args.job}-schedule")
+    schedule = jobs.refreshed(lambda: schedule_rows(snapshot.refresh()), args.refresh_seconds)
     if args.job == "ward-energy":
         return jobs.start_ward_energy(feed("smart_meters"), *to, args.archive, *last)
     if args.job == "health-advisories":
         return jobs.start_health_advisories(feed("air_quality"), read_zone_profile(spark, args.zones), *to, *last)
     if args.job == "incidents":
-        found = jobs.incidents(feed("air_quality"), feed("traffic_signals"), feed("bus_gps"), args.ttl_ms)
+        found = jobs.incidents(feed("air_quality"), feed("traffic_signals"), feed("bus_gps"), args.ttl_ms, args.event_order)
         return jobs.start_incidents(found, *to, *last)
     if args.job == "rolling-gridlock":
         return jobs.start_rolling_gridlock(
@@ -80,7 +83,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         return jobs.start_enrichment(feed("bus_gps"), schedule, *to, *last)
     if args.job == "message-enrichment":
         return jobs.start_message_enrichment(raw("bus_gps"), schedule, *to, *last)
-    return jobs.start_dlq_router(raw(*FEEDS), *to, *last)
+    return jobs.start_dlq_router(raw(*FEEDS), *to, *last, counts_path=args.counts)
 
 
 if __name__ == "__main__":

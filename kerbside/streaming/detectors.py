@@ -1,9 +1,12 @@
 """The incident detectors on streams: one small state machine per key.
 
 Rows of a key are handled in (event time, id) order within a micro-batch and in arrival order across
-micro-batches; late rows are handled, not dropped. The columns that come out are those of the batch
-detectors. A micro-batch's rows of one key are sorted in memory, so ``max_per_batch`` of the source
-bounds what a backlog may bring at once. State is kept for good unless ``ttl_ms`` is given.
+micro-batches; late rows are handled, not dropped. With ``in_event_order`` rows wait in the state until the
+watermark has passed them, so the order is that of the batch detectors whatever the arrival; rows behind the
+watermark of the micro-batch before, which may have been passed on, are dropped and counted in the query's
+progress (``numRowsDroppedByWatermark``). The columns that come out are those of the batch detectors. A
+micro-batch's rows of one key are sorted in memory, so ``max_per_batch`` of the source bounds what a backlog may
+bring at once. State is kept for good unless ``ttl_ms`` is given.
 """
 
 from __future__ import annotations
@@ -11,12 +14,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from kerbside.functions.clock import epoch_ms
 from kerbside.functions.geo import EARTH_RADIUS_M
-from kerbside.operators.aqi import HAZARDOUS_AQI, MUTE_MS, hazardous
+from kerbside.operators.aqi import HAZARDOUS_AQI, MUTE_MS, is_hazardous
 from kerbside.operators.bunching import HOLD_MS, NEAR_METRES, STALE_MS
 from kerbside.operators.gridlock import BREACH_CYCLES, BREACH_WAIT_SEC
 
@@ -126,35 +130,93 @@ class BunchingProcessor(StatefulProcessor):
         pass
 
 
+class EventOrder(StatefulProcessor):
+    """Holds a key's rows until the watermark has passed them, then hands them in order to another processor.
+
+    The state keeps the rows above the watermark; a timer stands at the first of them. Rows of the watermark's own
+    millisecond wait too, since one with a later microsecond may still come.
+    """
+
+    def __init__(self, inner: StatefulProcessor, schema: StructType):
+        self._inner, self._schema, self._row = inner, schema, Row(*schema.names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._held = handle.getListState("held", self._schema)
+        self._inner.init(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived = [tuple(row[name] for name in self._schema.names) for row in rows]
+        self._held.appendList(arrived)
+        self._wake(arrived)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = [self._row(*values) for values in self._held.get()]
+        due = [row for row in held if row.ms < watermark]
+        if not due:  # another timer of this batch has released them
+            return iter(())
+        waiting = [tuple(row) for row in held if row.ms >= watermark]
+        if waiting:
+            self._held.put(waiting)
+            self._wake(waiting)
+        else:
+            self._held.clear()
+        return self._inner.handleInputRows(key, iter(due), timerValues)
+
+    def _wake(self, rows: list[tuple]) -> None:
+        at = self._schema.names.index("ms")
+        self._handle.registerTimer(min(row[at] for row in rows) + 1)
+
+    def close(self) -> None:
+        self._inner.close()
+
+
 def _metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     half_lat, half_lon = math.radians(lat2 - lat1) / 2, math.radians(lon2 - lon1) / 2
     h = math.sin(half_lat) ** 2 + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.sin(half_lon) ** 2
     return 2 * EARTH_RADIUS_M * math.atan2(math.sqrt(h), math.sqrt(1 - h))
 
 
-def _keyed(rows: DataFrame, key: str, processor: StatefulProcessor, output: str) -> DataFrame:
+def _keyed(rows: DataFrame, key: str, processor: StatefulProcessor, output: str, in_event_order: bool) -> DataFrame:
+    time_mode = "None" if processor._ttl_ms is None else "ProcessingTime"
+    if in_event_order:
+        if processor._ttl_ms is not None:
+            raise ValueError("ttl_ms counts processing time; it does not go with in_event_order")
+        # The event time itself stays among the columns: rows behind its watermark are dropped by it.
+        schema = StructType([field for field in rows.schema if field.name not in (key, "event_time")])
+        processor, time_mode = EventOrder(processor, schema), "EventTime"
+    else:
+        rows = rows.drop("event_time")
     return rows.groupBy(key).transformWithState(
-        statefulProcessor=processor, outputStructType=output, outputMode="Update", timeMode=_time_mode(processor)
+        statefulProcessor=processor, outputStructType=output, outputMode="Update", timeMode=time_mode
     )
 
 
-def _time_mode(processor: StatefulProcessor) -> str:
-    return "None" if processor._ttl_ms is None else "ProcessingTime"
-
+def _with_ms(rows: DataFrame, wanted: Column, *columns: str) -> DataFrame:
+    """The ``wanted`` rows with their time in milliseconds.
 
-def _with_ms(rows: DataFrame, *columns: str) -> DataFrame:
-    return rows.select(*columns, epoch_ms(rows).alias("ms"), "event_id").dropna(
+    The test names the event time too, so that the optimizer leaves it above the watermark: rows that a detector does
+    not want still tell how late it is, else the wanted ones would wait for one another.
+    """
+    kept = rows.where(wanted.eqNullSafe(F.col("event_time").isNotNull()))
+    return kept.select(*columns, epoch_ms(rows).alias("ms"), "event_id", "event_time").dropna(
         subset=[columns[0], "ms", "event_id"]
     )
 
 
 def stream_aqi_emergencies(
-    readings: DataFrame, threshold: float = HAZARDOUS_AQI, mute_ms: int = MUTE_MS, ttl_ms: int | None = None
+    readings: DataFrame,
+    threshold: float = HAZARDOUS_AQI,
+    mute_ms: int = MUTE_MS,
+    ttl_ms: int | None = None,
+    in_event_order: bool = False,
 ) -> DataFrame:
     """Streaming counterpart of ``aqi_emergencies``; only hazardous readings reach the state."""
-    rows = _with_ms(hazardous(readings, threshold), "sensor_id", "zone", "aqi")
+    rows = _with_ms(readings, is_hazardous(threshold), "sensor_id", "zone", "aqi")
     output = "sensor_id string, zone string, aqi double, ms long, event_id long"
-    return _keyed(rows, "sensor_id", AqiProcessor(mute_ms, ttl_ms), output)
+    return _keyed(rows, "sensor_id", AqiProcessor(mute_ms, ttl_ms), output, in_event_order)
 
 
 def stream_gridlock(
@@ -163,11 +225,12 @@ def stream_gridlock(
     cycles: int = BREACH_CYCLES,
     latch: bool = True,
     ttl_ms: int | None = None,
+    in_event_order: bool = False,
 ) -> DataFrame:
     """Streaming counterpart of ``gridlock``."""
-    rows = _with_ms(signals.where(F.col("avg_wait_sec").isNotNull()), "junction_id", "zone", "avg_wait_sec")
+    rows = _with_ms(signals, F.col("avg_wait_sec").isNotNull(), "junction_id", "zone", "avg_wait_sec")
     output = "junction_id string, zone string, avg_wait double, ms long, event_id long"
-    return _keyed(rows, "junction_id", GridlockProcessor(wait, cycles, latch, ttl_ms), output)
+    return _keyed(rows, "junction_id", GridlockProcessor(wait, cycles, latch, ttl_ms), output, in_event_order)
 
 
 def stream_bus_bunching(
@@ -176,10 +239,12 @@ def stream_bus_bunching(
     hold_ms: int = HOLD_MS,
     stale_ms: int = STALE_MS,
     ttl_ms: int | None = None,
+    in_event_order: bool = False,
 ) -> DataFrame:
     """Streaming counterpart of ``bus_bunching``, keyed by route."""
-    rows = _with_ms(gps.dropna(subset=["bus_id", "lat", "lon"]), "route_id", "bus_id", "lat", "lon")
+    known = F.col("bus_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    rows = _with_ms(gps, known, "route_id", "bus_id", "lat", "lon")
     output = (
         "route_id string, bus_id_1 string, bus_id_2 string, distance_meters double, ms long, event_id long"
     )
-    return _keyed(rows, "route_id", BunchingProcessor(metres, hold_ms, stale_ms, ttl_ms), output)
+    return _keyed(rows, "route_id", BunchingProcessor(metres, hold_ms, stale_ms, ttl_ms), output, in_event_order)

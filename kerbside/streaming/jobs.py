@@ -115,13 +115,23 @@ def start_health_advisories(
     return _start(topics.append_stream(encode_json(found, "zone"), topic), checkpoint, "update", _every(trigger))
 
 
-def incidents(air_quality: DataFrame, signals: DataFrame, gps: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Alerts of the three detectors as one stream; keys silent for ``ttl_ms`` are forgotten (default: never)."""
+def incidents(
+    air_quality: DataFrame,
+    signals: DataFrame,
+    gps: DataFrame,
+    ttl_ms: int | None = None,
+    in_event_order: bool = False,
+) -> DataFrame:
+    """Alerts of the three detectors as one stream; keys silent for ``ttl_ms`` are forgotten (default: never).
+
+    ``in_event_order`` makes the feeds' lateness count: rows wait for it and are handled in event-time order.
+    """
     late = DETECTOR_LATENESS
+    how = {"ttl_ms": ttl_ms, "in_event_order": in_event_order}
     return alerts.all_incidents(
-        detectors.stream_aqi_emergencies(air_quality.withWatermark("event_time", late["air_quality"]), ttl_ms=ttl_ms),
-        detectors.stream_gridlock(signals.withWatermark("event_time", late["traffic_signals"]), ttl_ms=ttl_ms),
-        detectors.stream_bus_bunching(gps.withWatermark("event_time", late["bus_gps"]), ttl_ms=ttl_ms),
+        detectors.stream_aqi_emergencies(air_quality.withWatermark("event_time", late["air_quality"]), **how),
+        detectors.stream_gridlock(signals.withWatermark("event_time", late["traffic_signals"]), **how),
+        detectors.stream_bus_bunching(gps.withWatermark("event_time", late["bus_gps"]), **how),
     )
 
 
@@ -202,12 +212,47 @@ def start_message_enrichment(
 
 
 def start_dlq_router(
-    raw: DataFrame, topics: Topics, topic: str, checkpoint: str, trigger: dict | None = None
+    raw: DataFrame,
+    topics: Topics,
+    topic: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    counts_path: str | None = None,
 ) -> StreamingQuery:
-    """Messages that fail validation to the dead-letter topic, under their own key."""
+    """Messages that fail validation to the dead-letter topic, under their own key.
+
+    With ``counts_path`` the same pass over the topics counts them by window of arrival and reason, for
+    ``routed_report``. Each batch's counts replace what an earlier try of it wrote, so none counts twice.
+    """
     _, rejected = validate.split(validate.validate_messages(raw))
-    messages = validate.dlq_messages(validate.dlq_records(rejected))
-    return _start(topics.append_stream(messages, topic), checkpoint, "append", trigger or {"processingTime": "0 seconds"})
+    trigger = trigger or {"processingTime": "0 seconds"}
+    if counts_path is None:
+        messages = validate.dlq_messages(validate.dlq_records(rejected))
+        return _start(topics.append_stream(messages, topic), checkpoint, "append", trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            topics.append(validate.dlq_messages(validate.dlq_records(batch)), topic)
+            window = F.window("timestamp", REPORT_WINDOW)["start"].alias("window_start")
+            counts = batch.groupBy(window, "error_reason").agg(F.count(F.lit(1)).alias("n"))
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _start(rejected.writeStream.foreachBatch(write), checkpoint, "append", trigger)
+
+
+def routed_report(spark: SparkSession, counts_path: str, window: bool = True) -> DataFrame:
+    """Count and share of each reason as the router counted them, per window of arrival or over everything.
+
+    It reads a row per batch, window and reason, never the topics.
+    """
+    keys = ["window_start"] if window else []
+    counted = spark.read.schema("window_start timestamp, error_reason string, n long, batch long").parquet(counts_path)
+    counts = counted.groupBy(*keys, "error_reason").agg(F.sum("n").alias("n"))
+    share = 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(*keys))
+    return counts.withColumn("pct", share).orderBy(*keys, F.desc("n"), "error_reason")
 
 
 def dlq_counts(raw: DataFrame, window: str | None = REPORT_WINDOW, lateness: str = "0 seconds") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -15,7 +17,7 @@ from kerbside.operators.bunching import bus_bunching
 from kerbside.operators.gridlock import gridlock
 from kerbside.plans import views
 from kerbside.schemas import FEEDS
-from kerbside.sources.reference import current_route_schedule, read_energy_archive
+from kerbside.sources.reference import UpsertSnapshot, current_route_schedule, read_energy_archive, schedule_rows
 from kerbside.sources.topics import Topics
 from kerbside.streaming import app, detectors, jobs
 
@@ -194,6 +196,79 @@ def test_schedule_is_held_for_a_while(spark):
     assert [always().count(), always().count()] == [2, 3]
 
 
+def out_of_order(spark, path, schema, rows, last, batches=4, lateness=10):
+    """``rows`` (event time in column ``at``), each up to ``lateness`` seconds after its place; ``last`` ends the stream."""
+    rng = random.Random(7)
+    arrivals = sorted(rows, key=lambda r: r[-2] + timedelta(seconds=rng.uniform(0, lateness - 0.001)))
+    assert arrivals != sorted(rows, key=lambda r: (r[-2], r[-1]))
+    size = -(-len(rows) // batches)
+    for part in [*(arrivals[i:i + size] for i in range(0, len(rows), size)), last]:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)  # files are taken by their time
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream.withWatermark("event_time", f"{lateness} seconds")
+
+
+def dropped_late(query):
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_all(df, checkpoint):
+    found = []
+    query = df.writeStream.foreachBatch(lambda batch, _: found.extend(batch.collect())).outputMode("update")
+    query = query.option("checkpointLocation", checkpoint).trigger(**NOW).start()
+    query.awaitTermination()
+    return found, query
+
+
+def test_event_order_makes_the_batch_result_of_late_rows(spark, tmp_path):
+    rng = random.Random(3)
+    schema = "sensor_id string, zone string, aqi double, sensor_status string, event_time timestamp, event_id long"
+    rows = [(f"S{rng.randrange(3)}", "Z", rng.choice([200.0, 400.0, 450.0]), "OK", at(rng.randrange(900)), i)
+            for i in range(240)]
+    stream = out_of_order(spark, str(tmp_path / "in"), schema, rows, [("end", "Z", 1.0, "OK", at(5000), 9999)])
+    found, query = run_all(
+        detectors.stream_aqi_emergencies(stream, in_event_order=True), str(tmp_path / "cp"))
+    batch = aqi_emergencies(spark.createDataFrame(rows, schema)).collect()
+    assert len(batch) > 10 and rows_of(found) == rows_of(batch)
+    assert dropped_late(query) == 0
+
+
+def test_event_order_of_cycles_and_positions(spark, tmp_path):
+    rng = random.Random(4)
+    schema = "junction_id string, zone string, avg_wait_sec double, event_time timestamp, event_id long"
+    rows = [(f"J{rng.randrange(2)}", "Z", rng.choice([100.0, 200.0, 250.0, 300.0]), at(rng.randrange(600)), i)
+            for i in range(240)]
+    stream = out_of_order(spark, str(tmp_path / "signals"), schema, rows, [("J0", "Z", 1.0, at(5000), 9999)])
+    found, _ = run_all(detectors.stream_gridlock(stream, in_event_order=True), str(tmp_path / "cp1"))
+    batch = gridlock(spark.createDataFrame(rows, schema)).collect()
+    assert len(batch) > 5 and rows_of(found) == rows_of(batch)
+
+    schema = "route_id string, bus_id string, lat double, lon double, event_time timestamp, event_id long"
+    rows = [("R", f"B{i % 3}", 12.9 + rng.choice([0.0, 0.0, 0.0, 0.0, 0.001, 0.005]), 77.6, at(4 * i), i) for i in range(400)]
+    stream = out_of_order(spark, str(tmp_path / "gps"), schema, rows, [("end", "B", 12.9, 77.6, at(9000), 9999)])
+    found, _ = run_all(
+        detectors.stream_bus_bunching(stream, hold_ms=30_000, in_event_order=True), str(tmp_path / "cp2"))
+    batch = bus_bunching(spark.createDataFrame(rows, schema), hold_ms=30_000).collect()
+    assert len(batch) > 5 and rows_of(found) == rows_of(batch)
+
+
+def test_event_order_drops_what_is_too_late(spark, tmp_path):
+    schema = "sensor_id string, zone string, aqi double, sensor_status string, event_time timestamp, event_id long"
+    for part in ([(0, 1)], [(1000, 2)], [(1001, 6)], [(5, 3), (995, 4)], [(9000, 5)]):
+        spark.createDataFrame([("S", "Z", 400.0, "OK", at(s), i) for s, i in part], schema).coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "in"))
+        time.sleep(0.01)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    found, query = run_all(
+        detectors.stream_aqi_emergencies(stream.withWatermark("event_time", "15 seconds"), in_event_order=True),
+        str(tmp_path / "cp"))
+    # The reading at 5 s came behind the watermark; the one at 995 s counts before those after it and mutes them.
+    assert [r.event_id for r in found] == [1, 4] and dropped_late(query) == 1
+    with pytest.raises(ValueError):
+        detectors.stream_aqi_emergencies(stream, ttl_ms=1000, in_event_order=True)
+
+
 def test_late_hazard_is_muted_in_arrival_order(spark, tmp_path):
     schema = "sensor_id string, zone string, aqi double, sensor_status string, event_time timestamp, event_id long"
     for i, second in enumerate((100, 50, 230)):
@@ -262,6 +337,56 @@ def test_dead_letters_and_their_report(spark, feeds, tmp_path):
     assert sum(r.n for batch in windows for r in batch) == sum(expected.values())
 
 
+def test_router_counts_what_it_routes(spark, feeds, tmp_path):
+    out, counts = Topics(str(tmp_path), "parquet"), str(tmp_path / "counts")
+    stream = feeds.stream(spark, *FEEDS, max_per_batch=5)
+    query = jobs.start_dlq_router(stream, out, "dlq", str(tmp_path / "cp"), NOW, counts_path=counts)
+    query.awaitTermination()
+    assert sum(p.numInputRows for p in query.recentProgress) == feeds.log(spark, *FEEDS).count()
+    rejected = validate.split(validate.validate_messages(feeds.log(spark, *FEEDS)))[1]
+    by_window = validate.dlq_report(rejected, jobs.REPORT_WINDOW, "timestamp").collect()
+    assert len(by_window) > 20 and jobs.routed_report(spark, counts).collect() == by_window
+    whole = {r.error_reason: r.n for r in jobs.routed_report(spark, counts, window=False).collect()}
+    assert whole == {r.error_reason: r.n for r in validate.dlq_report(rejected).collect()}
+    assert len(values(out, "dlq", spark)) == sum(whole.values())
+    # The last batch again, as after a failure before its commit: counted once all the same.
+    (commit,) = [max((tmp_path / "cp" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))]
+    commit.unlink()
+    commit.with_name(f".{commit.name}.crc").unlink()
+    jobs.start_dlq_router(stream, out, "dlq", str(tmp_path / "cp"), NOW, counts_path=counts).awaitTermination()
+    assert jobs.routed_report(spark, counts).collect() == by_window
+
+
+def schedule_messages(spark, rows):
+    return spark.createDataFrame(
+        [(key.encode(), None if name is None else json.dumps({"route_id": key, "route_name": name}).encode(),
+          "schedule", 0, offset, at(offset)) for offset, key, name in rows],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp").coalesce(1)
+
+
+def test_snapshot_follows_its_topic(spark, tmp_path):
+    topics = Topics(str(tmp_path), "parquet")
+    topics.append(schedule_messages(spark, [(0, "A", "a0"), (1, "B", "b0"), (2, "A", "a1"), (3, "C", "c0")]), "schedule")
+    snapshot = UpsertSnapshot(spark, topics, "schedule", str(tmp_path / "snapshot"))
+
+    def now(of=snapshot):
+        found = {r.route_id: r.route_name for r in schedule_rows(of.refresh()).collect()}
+        whole = current_route_schedule(spark, topics, "schedule").collect()
+        assert found == {r.route_id: r.route_name for r in whole}
+        return found
+
+    assert now() == {"A": "a1", "B": "b0", "C": "c0"}
+    assert now() == {"A": "a1", "B": "b0", "C": "c0"}  # nothing new, nothing read
+    topics.append(schedule_messages(spark, [(4, "B", None), (5, "C", "c1"), (6, "D", "d0")]), "schedule")
+    assert now() == {"A": "a1", "C": "c1", "D": "d0"}
+    assert snapshot.read_rows == [4, 0, 3]
+    again = UpsertSnapshot(spark, topics, "schedule", str(tmp_path / "snapshot"))  # a job started anew
+    topics.append(schedule_messages(spark, [(7, "B", "b1"), *[(8 + i, k, None) for i, k in enumerate("ACD")]]), "schedule")
+    assert now(again) == {"B": "b1"} and again.read_rows == [4]
+    topics.append(schedule_messages(spark, [(11, "B", None)]), "schedule")
+    assert now(again) == {}
+
+
 def test_readers_of_one_topic_are_independent(spark, feeds, tmp_path):
     seen = {"high": 0, "standard": 0}
 
