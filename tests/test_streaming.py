@@ -387,6 +387,17 @@ def test_snapshot_follows_its_topic(spark, tmp_path):
     assert now(again) == {}
 
 
+def test_enrichment_job_by_name_keeps_its_schedule(spark, feeds, tmp_path):
+    names = {f"RT-00{i}": f"name {i}" for i in range(1, 4)}
+    feeds.append(schedule_messages(spark, [(i, key, name) for i, (key, name) in enumerate(names.items())]), "kept")
+    asked = ["enrichment", "--topics", feeds.location, "--format", "parquet", "--out", "out-enrichment", "--checkpoint",
+             str(tmp_path), "--schedule", "kept", "--refresh-seconds", "0", "--once", "--max-per-batch", "1"]
+    app.start(spark, app.arguments(asked)).awaitTermination()
+    sent = values(feeds, "out-enrichment", spark)
+    assert len(sent) == 1000
+    assert {(v["route_id"], v["route_name"]) for v in sent if v["schedule_match"]} == set(names.items())
+
+
 def test_readers_of_one_topic_are_independent(spark, feeds, tmp_path):
     seen = {"high": 0, "standard": 0}
 
