@@ -11,6 +11,8 @@ from kerbside.operators.enrich import latest_by_key
 from kerbside.schemas import ROUTE_SCHEDULE, ZONE_PROFILE
 from kerbside.sources.topics import Topics
 
+#: What the archive's commits say of a batch; with the job's start, since batch numbers begin again with a checkpoint.
+COMMIT = "batch_id long, job_started timestamp"
 _MESSAGE = "key binary, value binary, offset long"
 
 
@@ -99,3 +101,14 @@ class UpsertSnapshot:
 def read_energy_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived ward summaries; filters on ward and date skip whole folders."""
     return spark.read.parquet(path)
+
+
+def commits_of(path: str) -> str:
+    """Where an archive notes its finished batches; readers of the archive pass over the underscore."""
+    return f"{path}/_commits"
+
+
+def committed_energy_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archive's rows of batches that reached both sinks."""
+    done = spark.read.schema(COMMIT).parquet(commits_of(path))
+    return read_energy_archive(spark, path).join(done, ["batch_id", "job_started"], "left_semi")

@@ -13,6 +13,7 @@ from kerbside.functions.json_codec import decode_json, encode_json
 from kerbside.operators import advisory, alerts, energy, enrich, validate
 from kerbside.operators.staging import new_path, staged
 from kerbside.schemas import FEEDS
+from kerbside.sources.reference import COMMIT, commits_of
 from kerbside.sources.topics import Topics
 from kerbside.streaming import detectors
 
@@ -74,7 +75,8 @@ def dual_sink(
 
     The batch is computed once for both. A window appears in the archive once per batch that changed it,
     marked with the batch id and the start of the job; ``latest_ward_energy`` picks the newest, which also absorbs a batch that
-    was written twice because the job failed in between.
+    was written twice because the job failed in between. Last of all the batch is noted in the archive's commits, so
+    that ``committed_energy_archive`` shows no batch whose job failed between the sinks.
     """
     started = datetime.now(timezone.utc)
 
@@ -89,6 +91,8 @@ def dual_sink(
                 .partitionBy("ward_id", "date")
                 .parquet(archive_path)
             )
+            done = batch.sparkSession.createDataFrame([(batch_id, started)], COMMIT).coalesce(1)
+            done.write.mode("append").parquet(commits_of(archive_path))
         finally:
             batch.unpersist()
 

@@ -17,7 +17,7 @@ from kerbside.operators.bunching import bus_bunching
 from kerbside.operators.gridlock import gridlock
 from kerbside.plans import views
 from kerbside.schemas import FEEDS
-from kerbside.sources.reference import UpsertSnapshot, current_route_schedule, read_energy_archive, schedule_rows
+from kerbside.sources.reference import UpsertSnapshot, committed_energy_archive, current_route_schedule, read_energy_archive, schedule_rows
 from kerbside.sources.topics import Topics
 from kerbside.streaming import app, detectors, jobs
 
@@ -95,6 +95,30 @@ def meter_stream(spark, path, *batches):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def test_half_written_batches_are_not_read(spark, tmp_path, monkeypatch):
+    archive = str(tmp_path / "archive")
+    rows = [("W", 1.0, 220.0, 0.9, at(0))]
+    schema = "ward_id string, kwh_reading double, voltage double, power_factor double, event_time timestamp"
+    summary = energy.ward_energy(spark.createDataFrame(rows, schema), weights=True)
+    sent = []
+    write = jobs.dual_sink(lambda messages: sent.append(messages.count()), archive)
+    write(summary, 0)
+
+    def lost(path):
+        raise RuntimeError("the job is lost here")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "commits_of", lost)
+        with pytest.raises(RuntimeError):
+            write(summary, 1)
+    assert sent == [1, 1] and read_energy_archive(spark, archive).count() == 2
+    assert [r.batch_id for r in committed_energy_archive(spark, archive).collect()] == [0]
+    jobs.dual_sink(lambda messages: None, archive)(summary, 1)  # the job started anew repeats its batch
+    done = committed_energy_archive(spark, archive)
+    assert sorted(r.batch_id for r in done.collect()) == [0, 1]
+    assert energy.latest_ward_energy(done).count() == 1
+
+
 def test_late_meter_rows(spark, tmp_path):
     # After the second batch the watermark stands at 2:00 - 45 min, after windows that end by 1:15.
     stream = meter_stream(
