@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.llm import (
-    byte_bpe, chat_quotes, collocations, decontaminate, importance, license_scan, ngram_join, personal_data, quality, sharding,
+    byte_bpe, chat_quotes, collocations, decontaminate, importance, license_scan, ngram_join, personal_data, quality, sharding, sql,
     substring_dedup, token_counts, warc,
 )
 from kerbside.operators.staging import shared_folder
@@ -128,4 +128,7 @@ _COLLOCATIONS = r"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_collocations": _COLLOCATIONS}
+    return {
+        "op2_ngram_jaccard_join": sql.NEAR_DUPLICATES, "op7_warc": sql.WARC, "op9_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op11_collocations": _COLLOCATIONS, "op13_importance_resampling": sql.IMPORTANCE,
+    }
