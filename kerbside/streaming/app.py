@@ -19,6 +19,7 @@ from kerbside.schemas import FEEDS  # noqa: E402
 from kerbside.sources.reference import UpsertSnapshot, read_zone_profile, schedule_rows  # noqa: E402
 from kerbside.sources.topics import Topics  # noqa: E402
 from kerbside.streaming import jobs  # noqa: E402
+from kerbside.streaming.detectors import BUS_BLOCKS  # noqa: E402
 
 #: Messages that a micro-batch takes at most (files, where topics are folders), so that a backlog comes in pieces.
 MAX_PER_BATCH = 500_000
@@ -42,6 +43,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-per-batch", type=int, default=MAX_PER_BATCH)
     parser.add_argument("--ttl-ms", type=int, help="forget detector keys that are silent for so long")
     parser.add_argument("--event-order", action="store_true", help="incidents in event-time order, late rows dropped")
+    parser.add_argument(
+        "--bus-blocks", type=int, default=BUS_BLOCKS, help="incidents: blocks that a route's buses are dealt into")
     parser.add_argument("--trigger", help="such as '1 minute'; each job has its own default")
     parser.add_argument("--once", action="store_true")
     found = parser.parse_args(argv)
@@ -74,7 +77,8 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.job == "health-advisories":
         return jobs.start_health_advisories(feed("air_quality"), read_zone_profile(spark, args.zones), *to, *last)
     if args.job == "incidents":
-        found = jobs.incidents(feed("air_quality"), feed("traffic_signals"), feed("bus_gps"), args.ttl_ms, args.event_order)
+        feeds = [feed(name) for name in ("air_quality", "traffic_signals", "bus_gps")]
+        found = jobs.incidents(*feeds, args.ttl_ms, args.event_order, args.bus_blocks)
         return jobs.start_incidents(found, *to, *last)
     if args.job == "rolling-gridlock":
         return jobs.start_rolling_gridlock(

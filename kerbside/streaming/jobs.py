@@ -125,17 +125,20 @@ def incidents(
     gps: DataFrame,
     ttl_ms: int | None = None,
     in_event_order: bool = False,
+    bus_blocks: int = detectors.BUS_BLOCKS,
 ) -> DataFrame:
     """Alerts of the three detectors as one stream; keys silent for ``ttl_ms`` are forgotten (default: never).
 
     ``in_event_order`` makes the feeds' lateness count: rows wait for it and are handled in event-time order.
+    ``bus_blocks`` spreads each route over as many tasks as it has pairs of blocks.
     """
     late = DETECTOR_LATENESS
     how = {"ttl_ms": ttl_ms, "in_event_order": in_event_order}
     return alerts.all_incidents(
         detectors.stream_aqi_emergencies(air_quality.withWatermark("event_time", late["air_quality"]), **how),
         detectors.stream_gridlock(signals.withWatermark("event_time", late["traffic_signals"]), **how),
-        detectors.stream_bus_bunching(gps.withWatermark("event_time", late["bus_gps"]), **how),
+        detectors.stream_bus_bunching(
+            gps.withWatermark("event_time", late["bus_gps"]), bus_blocks=bus_blocks, **how),
     )
 
 

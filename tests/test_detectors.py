@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 import plain_rules
 from kerbside.operators import alerts
 from kerbside.operators.aqi import aqi_emergencies
 from kerbside.operators.bunching import bus_bunching, close_contacts, contact_intervals
 from kerbside.operators.gridlock import gridlock
+from kerbside.streaming.detectors import BunchingProcessor, dealt
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 START_MS = int(START.timestamp() * 1000)
@@ -262,6 +265,81 @@ def test_bunching_against_simulator(spark, seed, hold):
     assert pairs(bus_bunching(gps_table(spark, rows), hold_ms=hold, stage_rows=seed % 2 == 0)) == expected
 
 
+class KeptMap:
+    """A map state in memory."""
+
+    def __init__(self):
+        self.held = {}
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+    def updateValue(self, key, value):
+        self.held[tuple(key)] = tuple(value)
+
+    def removeKey(self, key):
+        del self.held[tuple(key)]
+
+
+class KeptStates:
+    def __init__(self):
+        self.maps = {}
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, KeptMap())
+
+
+def released(rows, hold, blocks, step=90_000):
+    """Alerts (id, other bus) and states of the stream's processor, driven key by key and watermark by watermark."""
+    block = {bus: int(bus[1:]) % blocks for _, bus, *_ in rows}
+    keyed = defaultdict(list)
+    for route, bus, lat, lon, ms, rid in rows:
+        if lat is None:
+            continue
+        for other in range(blocks):
+            key = (route, min(block[bus], other), max(block[bus], other))
+            keyed[key].append(Row(bus_id=bus, lat=lat, lon=lon, ms=ms, event_id=rid, block=block[bus]))
+    alerts, states = [], {}
+    for key, own in keyed.items():
+        states[key] = KeptStates()
+        for start in range(0, max(row.ms for row in own) + 1, step):
+            processor = BunchingProcessor(200.0, hold, 180_000)
+            processor.init(states[key])
+            due = [row for row in own if start <= row.ms < start + step]
+            found, wake = processor.release(key, due, start + step)
+            alerts += [(row.event_id, row.bus_id_2) for row in found]
+            positions = states[key].maps["positions"].held.values()
+            assert all(place[2] >= start + step - 180_000 for place in positions)
+            assert wake == (min(place[2] for place in positions) + 180_001 if positions else None)
+    return sorted(alerts), states
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3])
+@pytest.mark.parametrize("seed, hold", [(1, 300_000), (3, 100_000), (8, 0)])
+def test_blocks_of_buses_against_simulator(seed, hold, blocks):
+    rows = random_walks(seed)
+    expected = plain_rules.bunching(rows, hold=hold)
+    alerts, _ = released(rows, hold, blocks)
+    assert len(expected) > 5 and alerts == expected
+
+
+def test_positions_near_poles_and_without_number():
+    rng, rows = random.Random(2), []
+    spots = [(89.9995, 10.0), (89.9995, -170.0), (89.9, 0.0), (-12.0, 180.0), (-12.0, -179.9995), (-12.0, 179.0),
+             (math.nan, 1.0)]
+    for i in range(600):
+        rows.append(("R", f"B{rng.randrange(6)}", *rng.choice(spots), i * 7_000, i))
+    expected = plain_rules.bunching(rows, hold=20_000)
+    assert len(expected) > 20 and released(rows, 20_000, 2)[0] == expected
+
+
+def test_busy_route_is_several_keys(spark):
+    buses = spark.range(5000).select(F.lit("R").alias("route_id"), F.concat(F.lit("B"), "id").alias("bus_id"))
+    keyed = dealt(buses, 4).groupBy("low", "high").agg(F.count("*").alias("n"), F.countDistinct("block").alias("blocks")).collect()
+    assert len(keyed) == 10 and sum(r.n for r in keyed) == 20_000
+    assert all(r.blocks == (1 if r.low == r.high else 2) for r in keyed) and max(r.n for r in keyed) < 3_000
+
+
 def intervals(df):
     return sorted((r.route_id, r.bus_id_1, r.bus_id_2, r.from_ms - START_MS, r.to_ms - START_MS, r.comparisons) for r in df.collect())
 
