@@ -54,6 +54,29 @@ def energy_rollup(summary: DataFrame, level: str = "day") -> DataFrame:
     )
 
 
+def energy_days(summary: DataFrame) -> DataFrame:
+    """Window summaries (with weights) to sums per (ward, date), which add up to those of any longer period."""
+    return summary.groupBy("ward_id", F.to_date("window_start").alias("date")).agg(
+        F.sum("total_kwh_consumed").alias("total_kwh_consumed"),
+        F.sum(F.col("avg_power_factor") * F.col("power_factor_count")).alias("power_factor_sum"),
+        F.sum("power_factor_count").alias("power_factor_count"),
+        F.max("peak_voltage").alias("peak_voltage"),
+        F.sum("reading_count").alias("reading_count"),
+    )
+
+
+def energy_periods(days: DataFrame, level: str = "month") -> DataFrame:
+    """``energy_rollup`` out of the sums per (ward, date)."""
+    period = F.to_date(F.date_trunc(level, F.col("date"))).alias("period_start")
+    factor_rows = F.sum("power_factor_count")
+    return days.groupBy("ward_id", period).agg(
+        F.sum("total_kwh_consumed").alias("total_kwh_consumed"),
+        F.when(factor_rows > 0, F.sum("power_factor_sum") / factor_rows).alias("avg_power_factor"),
+        F.max("peak_voltage").alias("peak_voltage"),
+        F.sum("reading_count").alias("reading_count"),
+    )
+
+
 def archive_rows(summary: DataFrame, batch_id: int | None = None, job_started: datetime | None = None) -> DataFrame:
     """Summary rows as archived: with the partition column ``date``, the batch that wrote them and its job's start."""
     rows = summary.withColumn("date", F.to_date("window_start"))

@@ -303,6 +303,7 @@ def oracle_sql() -> dict[str, str]:
         "energy_daily_rollup": _rollup("day"),
         "energy_weekly_rollup": _rollup("week"),
         "energy_monthly_rollup": _rollup("month"),
+        "energy_monthly_kept": _rollup("month"),
         "energy_archive_latest": _ENERGY + """
             SELECT ward_id, window_start, CAST(window_start AS DATE) AS date,
                    CAST(max(event_time) >= TIMESTAMP '2024-01-01 06:07:00' AS BIGINT) AS batch_id,

@@ -7,12 +7,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions.json_codec import encode_json
+from kerbside.operators.energy import energy_days, latest_ward_energy
 from kerbside.operators.enrich import latest_by_key
 from kerbside.schemas import ROUTE_SCHEDULE, ZONE_PROFILE
 from kerbside.sources.topics import Topics
 
-#: What the archive's commits say of a batch; with the job's start, since batch numbers begin again with a checkpoint.
-COMMIT = "batch_id long, job_started timestamp"
+#: What the archive's commits say of a batch, a row for each date that it wrote; with the job's start, since batch
+#: numbers begin again with a checkpoint.
+COMMIT = "batch_id long, job_started timestamp, date date"
+COMMIT_COLUMNS = ["batch_id", "job_started", "date"]
+#: Sums per ward and date, as ``energy_days`` makes them.
+_DAYS = (
+    "ward_id string, total_kwh_consumed double, power_factor_sum double, power_factor_count long, "
+    "peak_voltage double, reading_count long, date date"
+)
 _MESSAGE = "key binary, value binary, offset long"
 
 
@@ -112,3 +120,53 @@ def committed_energy_archive(spark: SparkSession, path: str) -> DataFrame:
     """The archive's rows of batches that reached both sinks."""
     done = spark.read.schema(COMMIT).parquet(commits_of(path))
     return read_energy_archive(spark, path).join(done, ["batch_id", "job_started"], "left_semi")
+
+
+@dataclass
+class EnergyDays:
+    """Sums per (ward, date) that are kept beside the energy archive, for reports that don't read it.
+
+    A refresh takes the commits since the last one, reads the archive's folders of the dates that they name and
+    replaces just these dates. Under ``path`` stand the days and the progress in the commits. A refresh that failed
+    is repeated as a whole and replaces what it wrote. Read the days between refreshes; one table has one owner.
+    """
+
+    spark: SparkSession
+    archive: str
+    path: str
+    #: Dates that each refresh so far has built anew; None where commits of an older form name no dates.
+    rebuilt: list[list | None] = field(default_factory=list)
+
+    def refresh(self) -> DataFrame:
+        """The days as the archive's commits stand now, each the sum of its windows' newest versions."""
+        news = self.spark.readStream.schema(COMMIT).parquet(commits_of(self.archive))
+        query = (
+            news.writeStream.foreachBatch(self._rebuild)
+            .option("checkpointLocation", f"{self.path}/progress").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return self.days()
+
+    def days(self) -> DataFrame:
+        return self.spark.read.schema(_DAYS).parquet(self._table)
+
+    def windows(self, dates: list | None) -> DataFrame:
+        """Newest versions of the committed windows of some dates, or of all."""
+        rows = committed_energy_archive(self.spark, self.archive)
+        return latest_ward_energy(rows if dates is None else rows.where(F.col("date").isin(dates)))
+
+    def _rebuild(self, news: DataFrame, _: int) -> None:
+        # As many as the calendar has days.
+        dates = sorted((row.date for row in news.select("date").distinct().collect()), key=str)
+        dates = None if None in dates else dates
+        self.rebuilt.append(dates)
+        if dates == []:
+            return
+        (
+            energy_days(self.windows(dates)).withColumn("ward_id", F.col("ward_id").cast("string")).repartition("date")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(self._table)
+        )
+
+    @property
+    def _table(self) -> str:
+        return f"{self.path}/days"

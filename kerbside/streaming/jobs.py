@@ -13,7 +13,7 @@ from kerbside.functions.json_codec import decode_json, encode_json
 from kerbside.operators import advisory, alerts, energy, enrich, validate
 from kerbside.operators.staging import new_path, staged
 from kerbside.schemas import FEEDS
-from kerbside.sources.reference import COMMIT, commits_of
+from kerbside.sources.reference import COMMIT_COLUMNS, commits_of
 from kerbside.sources.topics import Topics
 from kerbside.streaming import detectors
 
@@ -69,14 +69,15 @@ def _every(trigger: dict | None) -> dict:
 
 
 def dual_sink(
-    write_messages: Callable[[DataFrame], None], archive_path: str
+    write_messages: Callable[[DataFrame], None], archive_path: str, folders: tuple[str, ...] = ("ward_id", "date")
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch writer of ward summaries: keyed JSON and the partitioned Parquet archive.
 
     The batch is computed once for both. A window appears in the archive once per batch that changed it,
     marked with the batch id and the start of the job; ``latest_ward_energy`` picks the newest, which also absorbs a batch that
-    was written twice because the job failed in between. Last of all the batch is noted in the archive's commits, so
-    that ``committed_energy_archive`` shows no batch whose job failed between the sinks.
+    was written twice because the job failed in between. Last of all the batch and its dates are noted in the archive's
+    commits, so that ``committed_energy_archive`` shows no batch whose job failed between the sinks and ``EnergyDays``
+    knows what has changed. ``folders`` are the archive's partition columns; by ``date`` alone it has fewer files.
     """
     started = datetime.now(timezone.utc)
 
@@ -86,13 +87,13 @@ def dual_sink(
             write_messages(encode_json(batch.drop("reading_count", "power_factor_count"), "ward_id"))
             (
                 energy.archive_rows(batch, batch_id, started)
-                .repartition("ward_id", "date")  # one file per folder and batch
+                .repartition(*folders)  # one file per folder and batch
                 .write.mode("append")
-                .partitionBy("ward_id", "date")
+                .partitionBy(*folders)
                 .parquet(archive_path)
             )
-            done = batch.sparkSession.createDataFrame([(batch_id, started)], COMMIT).coalesce(1)
-            done.write.mode("append").parquet(commits_of(archive_path))
+            written = energy.archive_rows(batch, batch_id, started).select(*COMMIT_COLUMNS).distinct()
+            written.coalesce(1).write.mode("append").parquet(commits_of(archive_path))
         finally:
             batch.unpersist()
 

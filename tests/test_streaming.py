@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import time
 from datetime import datetime, timedelta, timezone
 
@@ -17,7 +18,7 @@ from kerbside.operators.bunching import bus_bunching
 from kerbside.operators.gridlock import gridlock
 from kerbside.plans import views
 from kerbside.schemas import FEEDS
-from kerbside.sources.reference import UpsertSnapshot, committed_energy_archive, current_route_schedule, read_energy_archive, schedule_rows
+from kerbside.sources.reference import EnergyDays, UpsertSnapshot, committed_energy_archive, current_route_schedule, read_energy_archive, schedule_rows
 from kerbside.sources.topics import Topics
 from kerbside.streaming import app, detectors, jobs
 
@@ -131,6 +132,48 @@ def test_late_meter_rows(spark, tmp_path):
     assert final[at(4500)] == 10.0  # the window from 1:15 is still open
 
 
+def test_days_follow_the_commits_of_the_archive(spark, tmp_path):
+    archive, day = str(tmp_path / "archive"), 86_400
+    schema = "ward_id string, kwh_reading double, voltage double, power_factor double, event_time timestamp"
+    rng, rows = random.Random(1), []
+    for i in range(300):
+        rows.append((f"W{rng.randrange(3)}", rng.choice([1.0, 2.5]), 220.0 + i % 7, rng.choice([0.5, 0.75, None]), at(rng.randrange(40 * day))))
+    early = [row for row in rows if row[-1] < at(35 * day)]
+    write, kept = jobs.dual_sink(lambda messages: None, archive), EnergyDays(spark, archive, str(tmp_path / "kept"))
+
+    def windows(part):
+        return energy.ward_energy(spark.createDataFrame(part, schema), weights=True)
+
+    def periods(df):
+        return sorted(tuple(None if c is None else round(c, 9) if isinstance(c, float) else c for c in r) for r in df.collect())
+
+    def agree(part):
+        return all(periods(energy.energy_periods(kept.days(), level)) == periods(energy.energy_rollup(windows(part), level))
+                   for level in ("day", "week", "month"))
+
+    def files():
+        return {f.name: f.stat().st_mtime_ns for f in (tmp_path / "kept" / "days").glob("date=*/*.parquet")}
+
+    write(windows(early), 0)
+    kept.refresh()
+    assert agree(early) and len(kept.rebuilt[0]) > 30
+    before = files()
+    assert kept.refresh().count() > 30 and len(kept.rebuilt) == 1 and files() == before  # nothing new
+    changed = windows(rows).join(windows([r for r in rows if r[-1] >= at(35 * day)]).select("ward_id", "window_start"), ["ward_id", "window_start"], "left_semi")
+    write(changed, 1)
+    kept.refresh()
+    assert agree(rows) and len(kept.rebuilt) == 2 and min(kept.rebuilt[1]) >= at(35 * day).date()
+    assert before.items() <= files().items()  # the other days' files are as they were
+    plan = kept.windows(kept.rebuilt[1])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ IN", plan)
+    write(changed, 1)  # a repeated batch changes nothing
+    kept.refresh()
+    assert agree(rows)
+    write(changed.limit(0), 2)  # nor does one without rows
+    kept.refresh()
+    assert agree(rows)
+
+
 # --- air quality ---------------------------------------------------------------------------------
 
 def test_advisories_end_like_the_batch(spark, feeds, tmp_path):
