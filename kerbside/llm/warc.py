@@ -1,10 +1,10 @@
 """WARC archives as seekable Zstandard bundles.
 
 Pages become WARC records, and records go in groups into independent Zstandard frames, so that one group can be
-read without those before it. A bundle is some frames and a footer: a seek table in a skippable frame, with the
-compressed and decompressed size of every frame, ending in the seek table's magic number. Plain Zstandard tools
-read a bundle as one stream. Besides the archive stands an index that maps each record's identifier to bundle,
-frame, and the record's offset in the decompressed frame.
+read without those before it. A bundle is some frames, their index and a footer, and is a file of its own. The
+footer is a seek table in a skippable frame, with the compressed and decompressed size of every frame, ending in the
+seek table's magic number. The index, a skippable frame too, maps each record's identifier to its frame and its
+offset in the decompressed frame; records are read through it. Plain Zstandard tools read a bundle as one stream.
 
 Of records with equal payloads the one with the smallest page id keeps its payload (response); the others refer
 to it (revisit) and keep their headers, which hold the payload's length and digest.
@@ -17,6 +17,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
@@ -28,11 +29,16 @@ FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 16 << 20
 
 # Fixed values of the seekable format: magic number of the skippable frame that holds the table, magic number
-# at the end of the table, and of its descriptor byte (no checksums).
+# at the end of the table, and its descriptor byte (no checksums). The index has a skippable frame of another number.
 SKIPPABLE_MAGIC = 0x184D2A5E
+INDEX_MAGIC = 0x184D2A50
 SEEKABLE_MAGIC = b"\xb1\xea\x92\x8f"
 DESCRIPTOR = 0
 
+#: A record in the index: number of its identifier, page id and whether it has one, frame, offset.
+_ENTRY = "<16sq?II"
+_URN = "<urn:uuid:{}>"
+
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 RECORD_DATE = "1970-01-01T00:00:00Z"
@@ -46,7 +52,7 @@ RECORD_SCHEMA = (
 def record_id(page_id: int | None, url: str) -> str:
     """Identifier of a page's record; pages without an id are told apart by their address."""
     name = f"url:{url}" if page_id is None else f"page:{page_id}"
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+    return _URN.format(uuid.uuid5(uuid.NAMESPACE_URL, name))
 
 
 def _record(page_id: int | None, url: str, payload: bytes, first: int | None, digest: str) -> bytes:
@@ -75,9 +81,8 @@ def _record(page_id: int | None, url: str, payload: bytes, first: int | None, di
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + body + b"\r\n\r\n"
 
 
-def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, header fields, block) of the records in a decompressed frame."""
-    at = 0
+def parse_records(data: bytes, at: int = 0) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, header fields, block) of the records in a decompressed frame, from the one at ``at``."""
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         lines = data[at:end].decode().split("\r\n")
@@ -109,6 +114,27 @@ def read_seek_table(bundle: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
+def index_frame(entries: list[tuple[str, int | None, int, int]]) -> bytes:
+    """Skippable frame with (identifier, page id, frame, offset) of a bundle's records."""
+    body = b"".join(
+        struct.pack(_ENTRY, uuid.UUID(name[10:-1]).bytes, page_id or 0, page_id is not None, frame, offset)
+        for name, page_id, frame, offset in entries
+    )
+    return struct.pack("<II", INDEX_MAGIC, len(body)) + body
+
+
+def read_index(bundle: bytes) -> list[tuple[str, int | None, int, int]]:
+    """(identifier, page id, frame, offset) of a bundle's records, without touching their frames."""
+    at, packed, plain = read_seek_table(bundle)[-1]
+    magic, size = struct.unpack_from("<II", bundle, at)
+    if plain or magic != INDEX_MAGIC or size != packed - 8:
+        raise ValueError("no index before the seek table")
+    return [
+        (_URN.format(uuid.UUID(bytes=number)), page_id if known else None, frame, offset)
+        for number, page_id, known, frame, offset in struct.iter_unpack(_ENTRY, bundle[at + 8:at + packed])
+    ]
+
+
 def read_frame(bundle: bytes, frame: int) -> bytes:
     """One frame of a bundle, decompressed without touching the others."""
     at, packed, plain = read_seek_table(bundle)[frame]
@@ -117,10 +143,22 @@ def read_frame(bundle: bytes, frame: int) -> bytes:
 
 def read_record(bundle: bytes, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
     """The record that the index places at ``offset`` of ``frame``."""
-    _, fields, block = next(parse_records(read_frame(bundle, frame)[offset:]))
+    _, fields, block = next(parse_records(read_frame(bundle, frame), offset))
     return fields, block
 
 
+def indexed_records(bundle: bytes) -> Iterator[list[tuple[dict[str, str], bytes]]]:
+    """Every record that a bundle's index names, by frame; each frame is decompressed once."""
+    for frame, entries in groupby(read_index(bundle), key=lambda entry: entry[2]):
+        data, found = read_frame(bundle, frame), []
+        for name, _, _, offset in entries:
+            _, fields, block = next(parse_records(data, offset))
+            if fields["WARC-Record-ID"] != name:
+                raise ValueError(f"no record {name} at {offset}")
+            found.append((fields, block))
+        yield found
+
+
 def classify(pages: DataFrame, min_payload: int = 0) -> DataFrame:
     """``page_id`` and ``first``: the smallest page id with an equal payload, NULL for responses.
 
@@ -160,8 +198,10 @@ def _bundles(frame_bytes: int, bundle_bytes: int):
         def close_bundle() -> pa.RecordBatch:
             nonlocal total
             # The file sink appends the last four bytes, the table's magic number, as its line separator.
+            frames.append(index_frame(index))
+            sizes.append((len(frames[-1]), 0))
             bundle = b"".join(frames) + seek_table(sizes)[:-4]
-            frames.clear(), sizes.clear()
+            frames.clear(), sizes.clear(), index.clear()
             total = 0
             return pa.RecordBatch.from_pydict({"bundle": pa.array([bundle], pa.binary())})
 
@@ -169,6 +209,7 @@ def _bundles(frame_bytes: int, bundle_bytes: int):
             columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "first"))
             for page_id, url, first, payload in zip(*columns, texts):
                 digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                index.append((record_id(page_id, url or ""), page_id, len(sizes), len(pending)))
                 pending += _record(page_id, url or "", payload, first, digest)
                 if len(pending) >= frame_bytes:
                     close_frame()
@@ -187,7 +228,7 @@ def write_archive(
     """Write every page's record to bundles under ``path``, through Spark's own file committer.
 
     A NULL html is an empty payload, a NULL url an empty address; repeated pages are records of their own. Other
-    columns are not read. A bundle is a file's whole content, or several stand one after the other in it.
+    columns are not read. Each bundle, with its index, is one file.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(
@@ -203,30 +244,17 @@ def write_archive(
     (
         marked.mapInArrow(_bundles(frame_bytes, bundle_bytes), "bundle binary")
         .select(F.col("bundle").cast("string"))
-        .write.option("encoding", "ISO-8859-1").option("lineSep", SEEKABLE_MAGIC.decode("latin-1"))
+        .write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", SEEKABLE_MAGIC.decode("latin-1"))
         .text(path)
     )
 
 
-def _split_bundles(content: bytes) -> Iterator[tuple[int, bytes]]:
-    """(offset, bundle) of a file that may hold several bundles, found from the end by their seek tables."""
-    found, end = [], len(content)
-    while end:
-        count, _ = struct.unpack("<IB", content[end - 9:end - 4])
-        table = content[end - 9 - 8 * count:end - 9]
-        packed = sum(struct.unpack_from("<I", table, 8 * i)[0] for i in range(count))
-        start = end - 17 - 8 * count - packed
-        found.append((start, content[start:end]))
-        end = start
-    return reversed(found)
-
-
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
 
 
 def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Every record of the archive: its identity, what it refers to, and payload length and digest.
+    """Every record that the archive's indexes name: its identity, what it refers to, and payload length and digest.
 
     Length and digest of a response come from the payload as read, and a digest other than the header's stops
     the job; those of a revisit come from its headers.
@@ -234,11 +262,10 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content").to_pylist():
-                for _, bundle in _split_bundles(content):
-                    for frame in range(len(read_seek_table(bundle))):
-                        rows = [_row(fields, block, payloads) for _, fields, block in parse_records(read_frame(bundle, frame))]
-                        yield pa.RecordBatch.from_pylist(rows, _ARROW)
+            for bundle in batch.column("content").to_pylist():
+                for records in indexed_records(bundle):
+                    rows = [_row(fields, block, payloads) for fields, block in records]
+                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
     return _files(spark, path).mapInArrow(run, RECORD_SCHEMA)
 
@@ -267,21 +294,36 @@ def _row(fields: dict[str, str], block: bytes, payloads: bool) -> dict:
 
 
 def index_archive(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, page_id, file, bundle_at, frame, offset): where each record stands."""
+    """(record_id, page_id, file, frame, offset): where each record stands, from the bundles' indexes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["record_id", "page_id", "file", "bundle_at", "frame", "offset"]
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()]
+        names = ["record_id", "page_id", "file", "frame", "offset"]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()]
         for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                for start, bundle in _split_bundles(content):
-                    for frame in range(len(read_seek_table(bundle))):
-                        rows = [
-                            (f["WARC-Record-ID"], int(f["X-Page-ID"]) if "X-Page-ID" in f else None, file, start, frame, at)
-                            for at, f, _ in parse_records(read_frame(bundle, frame))
-                        ]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
-    return _files(spark, path).mapInArrow(
-        run, "record_id string, page_id long, file string, bundle_at long, frame int, offset long"
-    )
+            for file, bundle in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                rows = [(name, page_id, file, frame, offset) for name, page_id, frame, offset in read_index(bundle)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return _files(spark, path).mapInArrow(run, "record_id string, page_id long, file string, frame int, offset long")
+
+
+def look_up(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The records whose ``record_id`` stands in ``wanted``: only their frames are decompressed, once each.
+
+    Identifiers that the archive does not hold give no row. The index is joined with what is wanted, and a bundle's
+    places, which its size bounds, go with the bundle's file. Other columns are not read.
+    """
+    names = wanted.select(F.col("record_id").cast("string").alias("record_id"))
+    places = index_archive(spark, path).join(names, "record_id", "left_semi").groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("frame", "offset"))).alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bundle, at in zip(batch.column("content").to_pylist(), batch.column("places").to_pylist()):
+                for frame, group in groupby(at, key=lambda place: place["frame"]):
+                    data = read_frame(bundle, frame)
+                    records = (next(parse_records(data, place["offset"])) for place in group)
+                    yield pa.RecordBatch.from_pylist([_row(fields, block, True) for _, fields, block in records], _ARROW)
+
+    held = _files(spark, path).join(places, F.col("path") == F.col("file")).select("content", "places")
+    return held.mapInArrow(run, RECORD_SCHEMA)

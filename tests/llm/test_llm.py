@@ -246,7 +246,7 @@ def test_warc(spark, tmp_path):
     rows = [(5, "u", "same"), (2, "v w", "same"), (9, None, None), (7, "x", ""), (None, "n", "same"), (3, "y", "ünique" * 999), (2, "v", "same")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     path = str(tmp_path / "archive")
-    warc.write_archive(pages, path, frame_bytes=2000, bundle_bytes=1000)
+    warc.write_archive(pages, path, frame_bytes=500, bundle_bytes=100)
     got = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archive(spark, path).collect())
     want = Counter()
     for page_id, _, html in rows:
@@ -256,14 +256,32 @@ def test_warc(spark, tmp_path):
         want[(page_id, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if later else "response", first if later else None)] += 1
     assert got == want
     place = warc.index_archive(spark, path).where("page_id = 3").first()
-    content = open(place.file.removeprefix("file:"), "rb").read()
-    bundle = dict(warc._split_bundles(content))[place.bundle_at]
+    bundle = open(place.file.removeprefix("file:"), "rb").read()
     fields, block = warc.read_record(bundle, place.frame, place.offset)
     assert fields["WARC-Record-ID"] == place.record_id and block.endswith(("ünique" * 999).encode())
     import zstandard
 
     assert zstandard.ZstdDecompressor().stream_reader(bundle, read_across_frames=True).read().count(b"WARC/1.1") >= 1
 
+    files = sorted((tmp_path / "archive").glob("*.txt"))
+    assert len(files) > 1 and all(file.read_bytes()[-4:] == warc.SEEKABLE_MAGIC for file in files)
+    assert sum(len(warc.read_index(file.read_bytes())) for file in files) == len(rows)
+    asked = spark.createDataFrame([(warc.record_id(3, ""), 1), (warc.record_id(7, ""), 2), ("<urn:uuid:none>", 3)], "record_id string, page_id int")
+    found = {r.page_id: (r.record_type, bytes(r.payload)) for r in warc.look_up(spark, path, asked).collect()}
+    assert found == {3: ("response", ("ünique" * 999).encode()), 7: ("response", b"")}
+
+
+def test_warc_index_in_small_frames():
+    bundle = b"".join(batch.column("bundle")[0].as_py() for batch in warc._bundles(300, 1 << 20)(iter([pa.RecordBatch.from_pydict({
+        "page_id": pa.array(range(50)), "url": pa.array(["u"] * 50), "html": pa.array(["x" * i for i in range(50)]),
+        "first": pa.array([None] * 50, pa.int64())})]))) + warc.SEEKABLE_MAGIC
+    places = warc.read_index(bundle)
+    assert [page_id for _, page_id, _, _ in places] == list(range(50)) and len({frame for _, _, frame, _ in places}) > 10
+    for name, page_id, frame, offset in places:
+        fields, block = warc.read_record(bundle, frame, offset)
+        assert fields["WARC-Record-ID"] == name and block.partition(b"\r\n\r\n")[2] == b"x" * page_id
+    assert sum(map(len, warc.indexed_records(bundle))) == 50
+
 
 def test_sharding(spark, docs):
     shards = [f"s{i}" for i in range(7)]
