@@ -152,7 +152,9 @@ def _leaks_by_row(
     # No hint: the planner broadcasts the items' windows while the table is under the session's threshold.
     met = staged(windows.join(wanted, "window").select(*_PLACE, "doc_at", "item_at").distinct()).withColumn(
         "shift", F.col("doc_at") - F.col("item_at"))
-    held = rows.join(met.select("row_id").distinct(), "row_id", "left_semi").dropDuplicates(["row_id"])
+    # Staged, so that the planner knows how few they are and need not shuffle every text to find theirs.
+    found_in = staged(met.select("row_id").distinct())
+    held = rows.join(found_in, "row_id", "left_semi").dropDuplicates(["row_id"])
     of_rows = staged(_slots(held, "row_id", "doc_at", "doc_value"))
     of_items = staged(_slots(_items(benchmark), "item_id", "item_at", "item_value"))
 
